@@ -48,10 +48,17 @@ def left_lookup(
     return _spread_join(log, lookup, key, order, None)
 
 
-def _slice_of(order: str) -> Column:
-    """Which of a hot key's slices a row falls in; 0 for any other key."""
+def _slice_of(key: str, order: str) -> Column:
+    """Which of a hot key's slices a row falls in; 0 for any other key.
+
+    Rows without a key match nothing and are spread at random.
+    """
     width = F.greatest(F.expr("(_hi - _lo) div _parts + 1"), F.lit(1))
-    return F.coalesce(((F.col(order) - F.col("_lo")) / width).cast("int"), F.lit(0))
+    return (
+        F.when(F.col(key).isNull(), F.pmod(F.hash(order), F.lit(MAX_HOT_KEYS)))
+        .when(F.col("_parts").isNull(), F.lit(0))
+        .otherwise(((F.col(order) - F.col("_lo")) / width).cast("int"))
+    )
 
 
 def _spread_join(
@@ -64,7 +71,7 @@ def _spread_join(
     """
     hot = F.broadcast(hot_keys(log, key, order))
     sides = ["_n", "_lo", "_hi", "_parts"]
-    left = log.join(hot, key, "left").withColumn("_slice", _slice_of(order)).drop(*sides)
+    left = log.join(hot, key, "left").withColumn("_slice", _slice_of(key, order)).drop(*sides)
     right = lookup.join(hot, key, "left")
     first, last = F.lit(0).cast("bigint"), (F.coalesce(F.col("_parts"), F.lit(1)) - 1).cast("bigint")
     if span:
