@@ -61,3 +61,22 @@ def stream_log(
     else:
         raise ValueError(f"unsupported log format: {fmt}")
     return from_position(raw, start_lsn)
+
+
+def land_in_order(raw: DataFrame, path: str, rows_per_file: int = 5_000_000, min_files: int = 1) -> None:
+    """Land a log as files whose age follows arrival order, as a stream reads them.
+
+    The log is first sorted into ranges on disk, by all tasks. Then one file
+    after the other is added, each a range of at most about ``rows_per_file`` rows.
+    """
+    spark = raw.sparkSession
+    sorted_path = f"{path.rstrip('/')}-sorted"
+    raw.repartitionByRange("seq").sortWithinPartitions("seq").write.mode("overwrite").parquet(sorted_path)
+    log = spark.read.schema(S.RAW_LOG).parquet(sorted_path)
+    n, low, high = log.agg(F.count(F.lit(1)), F.min("seq"), F.max("seq")).first()
+    files = max(min_files, -(-n // rows_per_file))
+    cuts = log.approxQuantile("seq", [i / files for i in range(1, files)], 0.0001) if files > 1 else []
+    edges = [low, *(int(c) for c in cuts), high + 1]
+    for start, end in zip(edges, edges[1:]):
+        part = log.filter((F.col("seq") >= start) & (F.col("seq") < end))
+        part.coalesce(1).sortWithinPartitions("seq").write.mode("append").parquet(path)
