@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.once import once
+
 # How an unset time is written, and the layout times are read in.
 UNSET_TIME = "0001-01-01T00:00:00Z"
 RFC3339 = (
@@ -41,55 +43,57 @@ def envelope(event: str | None = None, pretty: bool = False) -> Column:
     return F.to_json(F.struct(*fields), options)
 
 
-def read_envelope(text: Column) -> Column:
-    """Parse envelope JSON to a struct of the event columns plus ``error``.
+PARSED = ("source", "table", "op", "ts", "before", "after", "error")
+
+
+def with_parsed(df: DataFrame, text: Column, into: str = "_event") -> DataFrame:
+    """Parse envelope JSON to a struct column of the event columns plus ``error``.
 
     A missing field is empty, as is ``{}``; a text that is not JSON or has a
-    field of the wrong type gives an error instead.
+    field of the wrong type gives an error instead. No text gives no struct.
     """
-    doc = F.try_parse_json(text)
-
-    def part(name: str) -> Column:
-        return F.try_variant_get(doc, f"$.{name}", "variant")
+    parsed = once(df, _doc=F.try_parse_json(text), _given=text.isNotNull())
+    names = ("source", "table", "op", "ts", "before", "after")
+    parts = {f"_{n}": F.try_variant_get("_doc", f"$.{n}", "variant") for n in names}
+    images = {f"_{n}_image": F.try_variant_get("_doc", f"$.{n}", IMAGE) for n in ("before", "after")}
+    parsed = once(parsed, **parts, **images)
 
     def absent(name: str) -> Column:
-        found = part(name)
-        return found.isNull() | F.is_variant_null(found)
+        return F.col(f"_{name}").isNull() | F.is_variant_null(F.col(f"_{name}"))
 
     def string(name: str) -> Column:
-        return F.try_variant_get(doc, f"$.{name}", "string")
+        return F.try_variant_get(F.col(f"_{name}"), "$", "string")
 
-    def bad_string(name: str) -> Column:
-        return ~absent(name) & ~F.startswith(F.to_json(part(name)), F.lit('"'))
-
-    def image(name: str) -> Column:
-        return F.try_variant_get(doc, f"$.{name}", IMAGE)
+    def wrong(what: str) -> Column:
+        return F.lit(f"failed to unmarshal event: {what}")
 
     time = F.when(string("ts").rlike(RFC3339), string("ts").try_cast("timestamp"))
-    error = F.when(
-        doc.isNull() | (~F.is_variant_null(doc) & F.try_variant_get(doc, "$", IMAGE).isNull()),
-        F.lit("failed to unmarshal event: invalid JSON object"),
-    )
+    doc = F.col("_doc")
+    is_object = F.is_variant_null(doc) | F.startswith(F.schema_of_variant(doc), F.lit("OBJECT"))
+    error = F.when(doc.isNull() | ~is_object, wrong("invalid JSON object"))
     for name in ("source", "table", "op"):
-        error = error.when(bad_string(name), F.lit(f"failed to unmarshal event: {name} is not a string"))
-    error = error.when(~absent("ts") & time.isNull(), F.lit("failed to unmarshal event: bad ts"))
+        is_string = F.schema_of_variant(F.col(f"_{name}")) == "STRING"
+        error = error.when(~absent(name) & ~is_string, wrong(f"{name} is not a string"))
+    error = error.when(~absent("ts") & time.isNull(), wrong("bad ts"))
     for name in ("before", "after"):
-        error = error.when(
-            ~absent(name) & image(name).isNull(),
-            F.lit(f"failed to unmarshal event: {name} is not an object"),
-        )
-    return F.struct(
+        not_object = ~absent(name) & F.col(f"_{name}_image").isNull()
+        error = error.when(not_object, wrong(f"{name} is not an object"))
+    event = F.struct(
         *(F.coalesce(string(n), F.lit("")).alias(n) for n in ("source", "table", "op")),
         F.when(string("ts") != UNSET_TIME, time).alias("ts"),
-        *(F.when(F.size(image(n)) > 0, part(n)).alias(n) for n in ("before", "after")),
+        *(F.when(F.size(f"_{n}_image") > 0, F.col(f"_{n}")).alias(n) for n in ("before", "after")),
         error.alias("error"),
     )
+    return parsed.withColumn(into, F.when(F.col("_given"), event)).drop(
+        "_doc", "_given", *parts, *images
+    )
 
 
 def parse_envelopes(lines: DataFrame, text: str = "value") -> DataFrame:
     """Envelope lines to event columns and ``error``; other columns are kept."""
-    kept = [F.col(c) for c in lines.columns if c != text]
-    return lines.select(*kept, read_envelope(F.col(text)).alias("_e")).select(*kept, "_e.*")
+    kept = [c for c in lines.columns if c != text]
+    parsed = with_parsed(lines, F.coalesce(F.col(text), F.lit("")), "_event")
+    return parsed.select(*kept, "_event.*")
 
 
 def position_text(lsn: Column) -> Column:

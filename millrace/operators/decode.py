@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas as S
 from millrace.functions import pgtext
+from millrace.functions.once import once
 from millrace.operators.commits import stamp_commit_time
 from millrace.operators.relations import attach_relations, relation_spans, spans_are_small
 
@@ -114,11 +115,10 @@ def decode_changes(bound: DataFrame) -> DataFrame:
         bound if "ts" in bound.columns else bound.withColumn("ts", F.lit(None).cast("timestamp"))
     )
     known = F.col("cols").isNotNull()
-    parsed = parsed.withColumns(
-        {
-            "_old": F.when(F.col("kind").isin(S.UPDATE, S.DELETE) & known, _fields("old")),
-            "_new": F.when(F.col("kind").isin(S.INSERT, S.UPDATE) & known, _fields("new")),
-        }
+    parsed = once(
+        parsed,
+        _old=F.when(F.col("kind").isin(S.UPDATE, S.DELETE) & known, _fields("old")),
+        _new=F.when(F.col("kind").isin(S.INSERT, S.UPDATE) & known, _fields("new")),
     )
     error = f"""
         CASE WHEN kind NOT IN ('I', 'U', 'D') THEN 'unknown message type: ' || kind
@@ -189,24 +189,30 @@ def table_view(
     else:
         bound = bound.withColumn("ts", F.lit(None).cast("timestamp"))
 
-    def image(side: str) -> Column:
+    def typed(side: str) -> Column:
         values = ", ".join(
             f"{pgtext.typed_value(f'get({side}, {i})', oid)} AS `{name}`"
             for i, (name, oid) in enumerate(columns)
         )
-        return F.expr(f"struct({values})")
+        return F.expr(f"CASE WHEN {side} IS NOT NULL THEN struct({values}) END")
 
     def failure(side: str) -> Column:
+        """A value beyond the layout, or text whose typed value is missing."""
         checks = [f"size({side}) > {len(columns)}"]
-        for i, (_, oid) in enumerate(columns):
-            rule, text = pgtext.pg_type(oid), f"get({side}, {i})"
+        for i, (name, oid) in enumerate(columns):
+            rule = pgtext.pg_type(oid)
             if rule is not pgtext.TEXT_LIKE and not rule.null_is_valid:
-                checks.append(f"({text} IS NOT NULL AND ({rule.typed(text)}) IS NULL)")
+                checks.append(f"(get({side}, {i}) IS NOT NULL AND _{side}.`{name}` IS NULL)")
         return F.coalesce(F.expr(" OR ".join(checks)), F.lit(False))
 
-    kind = F.col("kind")
-    has_old, has_new = kind.isin(S.UPDATE, S.DELETE), kind.isin(S.INSERT, S.UPDATE)
-    out = bound.select(
+    # Tuples a kind of change does not use are not looked at.
+    used = bound.withColumns(
+        {
+            "old": F.when(F.col("kind").isin(S.UPDATE, S.DELETE), F.col("old")),
+            "new": F.when(F.col("kind").isin(S.INSERT, S.UPDATE), F.col("new")),
+        }
+    )
+    out = once(used, _old=typed("old"), _new=typed("new")).select(
         "seq",
         "lsn",
         "xid",
@@ -214,8 +220,8 @@ def table_view(
         "table",
         F.expr(OP).alias("op"),
         "ts",
-        F.when(has_old & F.col("old").isNotNull(), image("old")).alias("before"),
-        F.when(has_new & F.col("new").isNotNull(), image("new")).alias("after"),
-        ((has_old & failure("old")) | (has_new & failure("new"))).alias("failed"),
+        F.col("_old").alias("before"),
+        F.col("_new").alias("after"),
+        (failure("old") | failure("new")).alias("failed"),
     )
     return out if keep_errors else out.filter(~F.col("failed")).drop("failed")

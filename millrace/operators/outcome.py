@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas as S
 from millrace.functions.envelope import envelope, rfc3339
+from millrace.functions.once import once
 
 SUCCESS = "success"
 FILTERED = "filtered"
@@ -46,8 +47,7 @@ def begin(decoded: DataFrame) -> DataFrame:
 
 def mark(df: DataFrame, condition: Column, status: str, stage: str | None, error: Column) -> DataFrame:
     """Give live rows meeting ``condition`` a final status."""
-    hit = is_live() & F.coalesce(condition, F.lit(False))
-    return df.withColumn("_hit", hit).withColumns(
+    return once(df, _hit=is_live() & F.coalesce(condition, F.lit(False))).withColumns(
         {
             "status": F.when(F.col("_hit"), F.lit(status)).otherwise(F.col("status")),
             "stage": F.when(F.col("_hit"), F.lit(stage)).otherwise(F.col("stage")),

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.envelope import envelope, read_envelope
+from millrace.functions.envelope import envelope, with_parsed
 from millrace.operators import outcome
 
 EventFunction = Callable[[dict], "dict | None"]
@@ -90,7 +90,7 @@ def run_functions(
     called = staged.withColumn(
         "_call", call.asNondeterministic()(F.when(outcome.is_live(), envelope()))
     )
-    read = called.withColumn("_event", read_envelope(F.col("_call.envelope")))
+    read = with_parsed(called, F.col("_call.envelope"))
     ran = F.col("_call.attempts").isNotNull()
     passed = F.col("_call.envelope").isNotNull()
     broken = passed & F.col("_event.error").isNotNull()

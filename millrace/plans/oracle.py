@@ -175,7 +175,7 @@ oracle(
       k % 61 = 0 AS rate_is_nan, CASE WHEN k % 61 <> 0 THEN (k % 8) + 0.25::DOUBLE END AS rate,
       day AS order_date,
       epoch_us(CAST(day || ' ' || clock AS TIMESTAMP)) + CASE WHEN k % 2 = 0 THEN 500000 ELSE 0 END AS created_us,
-      epoch_us(CAST(day || ' ' || clock AS TIMESTAMP)) - 5 * 3600 * 1000000 AS seen_us,
+      epoch_us(CAST(day || ' ' || clock AS TIMESTAMP)) - 18000000000 AS seen_us,
       clock AS "at", k % 3 = 0 AS urgent, priority, meta_json, tags, 10 AS blob_bytes, uid
     FROM parsed WHERE reason IS NULL
     """,
