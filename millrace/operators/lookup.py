@@ -84,7 +84,7 @@ def _spread_join(
         right.withColumn("_first", first)
         .withColumn("_last", last)
         .filter(F.col("_first") <= F.col("_last"))
-        .withColumn("_slice", F.explode(F.sequence("_first", "_last")).cast("int"))
+        .withColumn("_slice", F.explode(F.sequence(F.col("_first").cast("int"), F.col("_last").cast("int"))))
         .drop("_first", "_last", *sides)
     )
     if span is None:

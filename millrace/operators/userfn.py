@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.envelope import envelope, with_parsed
 from millrace.operators import outcome
+from millrace.session import ship_package
 
 EventFunction = Callable[[dict], "dict | None"]
 
@@ -76,6 +77,7 @@ def run_functions(
     result is fixed once written, so callers store it before using it twice.
     """
     functions = list(functions)
+    ship_package(staged.sparkSession)
 
     @F.pandas_udf(RESULT)
     def call(texts: pd.Series) -> pd.DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,3 +56,18 @@ def shared_folder(spark: SparkSession) -> str:
     made = tempfile.mkdtemp(prefix="millrace-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, for the functions that run next to the data."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="millrace-code-"), "millrace-package")
+    root, name = os.path.split(package)
+    context.addPyFile(shutil.make_archive(archive, "zip", root, name))
+    _shipped.add(context.applicationId)

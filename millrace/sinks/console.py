@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.envelope import envelope
+from millrace.session import ship_package
 
 
 def _print_lines(rows) -> None:
@@ -26,4 +27,5 @@ class ConsoleSink:
         return events.withColumn("line", envelope(pretty=self.pretty))
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
+        ship_package(rows.sparkSession)
         rows.sortWithinPartitions("seq").select("line").foreachPartition(_print_lines)

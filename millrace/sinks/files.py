@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace import store
 from millrace.functions.envelope import envelope
 from millrace.operators.routing import Outbox, in_key_order, to_records
+from millrace.session import ship_package
 
 ORDER = ("batch", "writer", "segment")
 
@@ -54,6 +55,7 @@ def with_segments(lines: DataFrame, max_size: int) -> DataFrame:
                 out.append(segment)
             yield pd.Series(out, dtype="int64")
 
+    ship_package(lines.sparkSession)
     length = F.octet_length("line") + 1
     return (
         lines.repartitionByRange("seq")
