@@ -42,11 +42,16 @@ def allow_tables(events: DataFrame, tables: Sequence[str]) -> DataFrame:
     return events.filter(F.col("table").isin(*tables))
 
 
-def keep(condition: Column, name: str = "keep") -> Transform:
+def _column(given: Column | str) -> Column:
+    """A column, or one given as SQL text: links may be made before a session exists."""
+    return F.expr(given) if isinstance(given, str) else given
+
+
+def keep(condition: Column | str, name: str = "keep") -> Transform:
     """Drop events for which the condition is not true."""
 
     def apply(df: DataFrame, _: str) -> DataFrame:
-        dropped = ~F.coalesce(condition, F.lit(False))
+        dropped = ~F.coalesce(_column(condition), F.lit(False))
         return outcome.mark(df, dropped, outcome.FILTERED, "transform", F.lit(None))
 
     return Transform(name, apply)
@@ -54,21 +59,24 @@ def keep(condition: Column, name: str = "keep") -> Transform:
 
 def allow(*tables: str) -> Transform:
     """Keep events of the named tables, whatever the operation."""
-    return keep(F.col("table").isin(*tables), "allow")
+
+    def apply(df: DataFrame, prefix: str) -> DataFrame:
+        return keep(F.col("table").isin(*tables)).apply(df, prefix)
+
+    return Transform("allow", apply)
 
 
-def reject(condition: Column, message: Column | str, name: str = "reject") -> Transform:
+def reject(condition: Column | str, message: str, name: str = "reject") -> Transform:
     """Fail events for which the condition is true."""
 
     def apply(df: DataFrame, prefix: str) -> DataFrame:
-        text = message if isinstance(message, Column) else F.lit(message)
-        error = F.concat(F.lit(prefix), text)
-        return outcome.mark(df, condition, outcome.TRANSFORM_ERROR, "transform", error)
+        error = F.lit(f"{prefix}{message}")
+        return outcome.mark(df, _column(condition), outcome.TRANSFORM_ERROR, "transform", error)
 
     return Transform(name, apply)
 
 
-def rewrite(columns: Mapping[str, Column], name: str = "rewrite") -> Transform:
+def rewrite(columns: Mapping[str, Column | str], name: str = "rewrite") -> Transform:
     """Replace event columns of live events."""
     unknown = set(columns) - set(S.ENVELOPE_COLUMNS)
     if unknown:
@@ -77,7 +85,7 @@ def rewrite(columns: Mapping[str, Column], name: str = "rewrite") -> Transform:
     def apply(df: DataFrame, _: str) -> DataFrame:
         live = outcome.is_live()
         return df.withColumns(
-            {c: F.when(live, value).otherwise(F.col(c)) for c, value in columns.items()}
+            {c: F.when(live, _column(value)).otherwise(F.col(c)) for c, value in columns.items()}
         )
 
     return Transform(name, apply)
@@ -85,9 +93,12 @@ def rewrite(columns: Mapping[str, Column], name: str = "rewrite") -> Transform:
 
 def mask(*fields: str, name: str = "mask") -> Transform:
     """Replace fields of both images by the SHA-256 of their text."""
-    return rewrite(
-        {side: images.masked_fields(F.col(side), fields) for side in ("before", "after")}, name
-    )
+
+    def apply(df: DataFrame, prefix: str) -> DataFrame:
+        masked = {s: images.masked_fields(F.col(s), fields) for s in ("before", "after")}
+        return rewrite(masked).apply(df, prefix)
+
+    return Transform(name, apply)
 
 
 def enrich(
@@ -104,12 +115,12 @@ def enrich(
     was found small enough.
     """
     image_field, key = on
-    repeated = F.raise_error(F.lit(f"{name}: repeated key in {key}"))
     grouped = (
         dim.groupBy(F.col(key).cast("string").alias("_key"))
         .agg(F.first(F.struct(*fields.values())).alias("_dim"), F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_key").isNotNull())
     )
+    repeated = F.raise_error(F.lit(f"{name}: repeated key in {key}"))
     checked = F.when(F.col("_n") > 1, repeated.cast(grouped.schema["_dim"].dataType))
     picked = grouped.select("_key", checked.otherwise(F.col("_dim")).alias("_dim"))
 
