@@ -137,13 +137,19 @@ def _json(x: str) -> str:
     anything after the value would displace it. Only a number too large for a
     double can turn into an infinity.
     """
-    overflow = f"{x} RLIKE '[eE][+]?[0-9]{{3}}|[0-9]{{300}}' AND to_json(doc) RLIKE '\"-?Infinity\"'"
+    long_number = f"{x} RLIKE '[eE][+]?[0-9]{{3}}|[0-9]{{300}}'"
+    overflow = f"{long_number} AND to_json(doc) RLIKE '\"-?Infinity\"'"
     checked = (
         f"CASE WHEN try_variant_get(doc, '$[1]', 'bigint') = xxhash64({x}) AND NOT ({overflow}) "
         f"THEN try_variant_get(doc, '$[0]', 'variant') ELSE CAST({x} AS VARIANT) END"
     )
     doc = f"try_parse_json('[' || {x} || ',' || xxhash64({x}) || ']')"
-    return f"CASE WHEN length({x}) > 0 THEN element_at(transform(array({doc}), doc -> {checked}), 1) END"
+    # An object whose only closing brace is its last character cannot be followed by anything.
+    flat = f"startswith({x}, '{{') AND locate('}}', {x}) = length({x}) AND NOT ({long_number})"
+    return (
+        f"CASE WHEN {flat} THEN coalesce(try_parse_json({x}), CAST({x} AS VARIANT)) "
+        f"WHEN length({x}) > 0 THEN element_at(transform(array({doc}), doc -> {checked}), 1) END"
+    )
 
 
 def _jsonb(x: str) -> str:

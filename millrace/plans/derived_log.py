@@ -57,6 +57,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a table of fewer splits; larger tables are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def layout_rows(spark: SparkSession, layouts) -> DataFrame:
     """The announcements as a literal table: its size is fixed by the code above."""
     rows = [
@@ -83,6 +89,7 @@ def cents_text(value: Column) -> Column:
 def events_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
     """One insert, update or delete per row of ``events``, ten rows to a transaction."""
     events = table(spark, sf_dir, "events")
+    spread_events = spread(events)
     event_id = F.col("event_id")
     xid = F.expr("event_id div 10")
     seq = (event_id * 10 + 5).alias("seq")
@@ -100,7 +107,7 @@ def events_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
     user = F.col("user_id").cast("string")
     now = F.array(user, cents_text(F.col("value")), F.col("props"))
     was = F.array(user, cents_text(F.col("value") + 1), F.col("props"))
-    changes = events.select(
+    changes = spread_events.select(
         seq,
         (event_id * 64 + 16777216).alias("lsn"),
         xid.alias("xid"),
@@ -156,7 +163,7 @@ def orders_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
     values = F.slice(F.array(*texts, F.lit("extra")), 1, length)
     turn = key % 3
     orders = table(spark, sf_dir, "orders")
-    changes = orders.withColumn("_values", values).select(
+    changes = spread(orders).withColumn("_values", values).select(
         (key * 10 + 1).alias("seq"),
         (key * 64 + 16777216).alias("lsn"),
         F.expr("o_orderkey div 20").alias("xid"),
@@ -189,7 +196,7 @@ def outbox_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
         .when(key % 8 == 3, number)
         .otherwise(F.concat(F.lit('{"id":'), number, F.lit("}"))),
     )
-    changes = table(spark, sf_dir, "orders").select(
+    changes = spread(table(spark, sf_dir, "orders")).select(
         (key * 10 + 1).alias("seq"),
         (key * 64 + 16777216).alias("lsn"),
         F.expr("o_orderkey div 20").alias("xid"),
