@@ -43,6 +43,9 @@ def local_session(cores: str | int = "*", app: str = "millrace", **conf: str) ->
     return spark
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -53,9 +56,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder")
-    made = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    key = spark.sparkContext.applicationId
+    if key not in _local_folders:
+        _local_folders[key] = tempfile.mkdtemp(prefix="millrace-")
+    return _local_folders[key]
 
 
 _shipped: set[str] = set()

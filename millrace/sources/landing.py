@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +65,28 @@ def stream_log(
     return from_position(raw, start_lsn)
 
 
+def log_from_messages(messages: DataFrame) -> DataFrame:
+    """The raw log from messages whose ``value`` is one JSON line of it, as a Kafka reader gives them.
+
+    Values that are not such lines are skipped, like malformed lines of a file.
+    """
+    text = F.col("value").cast("string")
+    broken = T.StructType([*TEXT_LOG.fields, T.StructField("_broken", T.StringType())])
+    parsed = messages.select(
+        F.from_json(text, broken, {"columnNameOfCorruptRecord": "_broken"}).alias("m")
+    ).select("m.*")
+    return _shaped(parsed.filter(F.col("_broken").isNull() & F.col("kind").isNotNull()))
+
+
+def stream_kafka(spark: SparkSession, brokers: Sequence[str], topic: str, **options) -> DataFrame:
+    """The raw log from one Kafka topic of a single partition, which keeps arrival order.
+
+    The cluster has to bring Spark's connector.
+    """
+    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", ",".join(brokers))
+    return log_from_messages(reader.option("subscribe", topic).options(**options).load())
+
+
 def land_in_order(raw: DataFrame, path: str, rows_per_file: int = 5_000_000, min_files: int = 1) -> None:
     """Land a log as files whose age follows arrival order, as a stream reads them.
 

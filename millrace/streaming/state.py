@@ -73,9 +73,10 @@ class StreamState:
         old = batch_id - 2
         if old < 0:
             return
-        self.marks.drop(old)
-        self.relations.drop(old)
-        previous = self.mark(batch_id - 1)
+        oldest, previous = self.mark(old), self.mark(batch_id - 1)
         starts = [m.held_from for m in (mark, previous) if m.held_from is not None]
-        for number in range(max(0, old - 1), min([batch_id - 1, *starts])):
+        first = old if oldest.held_from is None else oldest.held_from
+        for number in range(first, min([batch_id - 1, *starts])):
             self.held.drop(number)
+        self.marks.drop(old)
+        self.relations.drop(old)

@@ -353,3 +353,50 @@ def test_a_batch_run_again_replaces_itself(spark, tmp_path):
     pipeline.stream_batch(second, 1)
     assert account(pipeline.ledger.read_all()) == once
     assert spark.read.parquet(str(tmp_path / "out")).count() == len([r for r in once if r[3] == "success"])
+
+
+def test_held_rows_are_kept_until_their_commit_and_then_dropped(spark, tmp_path):
+    rows = [relation(0, USERS)] + [change(i, "I", 100, new=["1", "n"], xid=1) for i in range(1, 9)]
+    pipeline = build(spark, spec_for(tmp_path))
+    for n in range(4):
+        pipeline.stream_batch(raw(spark, rows[n * 2 : n * 2 + 2]), n)
+        assert pipeline.ledger.read(n).count() == 0
+    pipeline.stream_batch(raw(spark, rows[8:] + [commit(9, 1, 33)]), 4)
+    done = pipeline.ledger.read(4).collect()
+    assert [r.seq for r in sorted(done)] == list(range(1, 9)) and {r.ts.second for r in done} == {33}
+    for n in (5, 6):
+        more = [change(10 * n, "I", 100, new=["1", "n"], xid=n), commit(10 * n + 1, n, 40)]
+        pipeline.stream_batch(raw(spark, more), n)
+    assert not any(pipeline.state.held.has(n) for n in range(4))
+    assert account(pipeline.ledger.read(6)) == [(60, "users", "create", "success", int(at(40).timestamp()) * 10**6)]
+
+
+def test_live_progress(spark, tmp_path):
+    from millrace.sources.landing import stream_log
+    from millrace.streaming.progress import ProgressLog
+
+    log, progress, reports = str(tmp_path / "log"), ProgressLog(), []
+    raw(spark, simple_log()).coalesce(1).write.parquet(log)
+    spark.streams.addListener(progress)
+    try:
+        pipeline = build(spark, spec_for(tmp_path), on_batch=reports.append)
+        pipeline.run_stream(stream_log(spark, log)).awaitTermination(120)
+        for _ in range(50):
+            if progress.batches:
+                break
+            import time
+
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(progress)
+    assert progress.batches[0][1] >= 8 and not progress.failures
+    assert reports[0].counts["success"] == 3
+
+
+def test_messages_as_a_log(spark):
+    from millrace.sources.landing import log_from_messages
+
+    values = ['{"seq":1,"lsn":"7","xid":1,"kind":"I","relation_id":100,"new":["1","a"]}', "junk", '{"seq":2}']
+    messages = spark.createDataFrame([(v.encode(),) for v in values], "value binary")
+    (row,) = log_from_messages(messages).collect()
+    assert (row.seq, row.lsn, row.kind, row.new) == (1, 7, "I", ["1", "a"])
