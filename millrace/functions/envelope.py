@@ -43,9 +43,6 @@ def envelope(event: str | None = None, pretty: bool = False) -> Column:
     return F.to_json(F.struct(*fields), options)
 
 
-PARSED = ("source", "table", "op", "ts", "before", "after", "error")
-
-
 def with_parsed(df: DataFrame, text: Column, into: str = "_event") -> DataFrame:
     """Parse envelope JSON to a struct column of the event columns plus ``error``.
 

@@ -89,14 +89,16 @@ _timestamptz = _guarded(f"{DAY} {CLOCK}{ZONE}", "try_cast({x} AS TIMESTAMP)")
 def _tidy_clock(x: str) -> str:
     """Two-digit hour, no trailing zeros in the fraction."""
     padded = f"CASE WHEN {x} RLIKE '^[0-9]:' THEN '0' || {x} ELSE {x} END"
-    return f"regexp_replace({padded}, '([.][0-9]*?[1-9])0+$|[.]0+$', '$1')"
+    tidied = f"regexp_replace({padded}, '([.][0-9]*?[1-9])0+$|[.]0+$', '$1')"
+    return f"CASE WHEN length({x}) = 8 THEN {x} ELSE {tidied} END"
 
 
 def _tidy_zone(x: str) -> str:
-    zone = f"regexp_extract({x}, '{ZONE_TAIL}', 1)"
+    """The zone at the end of an accepted text, as ``Z`` or with minutes."""
     return (
-        f"CASE WHEN {zone} IN ('Z', '+00', '-00', '+00:00', '-00:00') THEN 'Z' "
-        f"WHEN length({zone}) = 3 THEN {zone} || ':00' ELSE {zone} END"
+        f"CASE WHEN right({x}, 1) = 'Z' OR right({x}, 3) IN ('+00', '-00') "
+        f"OR right({x}, 6) IN ('+00:00', '-00:00') THEN 'Z' "
+        f"WHEN substr({x}, -3, 1) IN ('+', '-') THEN right({x}, 3) || ':00' ELSE right({x}, 6) END"
     )
 
 

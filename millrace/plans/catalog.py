@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from millrace import schemas as S
 from millrace.functions import envelope as env
-from millrace.functions import pgtext as P
 from millrace.operators import metrics, outcome, routing
 from millrace.operators import transforms as T
 from millrace.operators.decode import (

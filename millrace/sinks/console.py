@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from millrace.functions.envelope import envelope
 from millrace.session import ship_package

@@ -64,11 +64,15 @@ VECTORS = [
     (1266, "09:00:00-08", "0000-01-01T09:00:00-08:00"),
     (1266, "09:00:00+05:30", "0000-01-01T09:00:00+05:30"),
     (1266, "09:00:00Z", "0000-01-01T09:00:00Z"),
+    (1266, "9:00:00.50-00:00", "0000-01-01T09:00:00.5Z"),
+    (1266, "9:00:00.5+00:30", "0000-01-01T09:00:00.5+00:30"),
     (1266, "09:00:00", BAD),
     (1114, "2026-03-05 14:30:00", "2026-03-05T14:30:00Z"),
     (1114, "2026-03-05 14:30:00.123456", "2026-03-05T14:30:00.123456Z"),
     (1114, "2026-03-05 14:30:00.100000", "2026-03-05T14:30:00.1Z"),
     (1114, "2026-03-05 14:30:10.000", "2026-03-05T14:30:10Z"),
+    (1114, "2026-03-05 4:30:10", "2026-03-05T04:30:10Z"),
+    (1114, "2026-03-05 4:30:10.", BAD),
     (1114, "2026-03-05", BAD),
     (1114, "2026-03-05T14:30:00", BAD),
     (1114, "not-a-timestamp", BAD),
@@ -150,12 +154,7 @@ def test_non_finite_floats(spark):
         assert math.isnan(got[0]) and got[1:] == [math.inf, -math.inf, math.inf]
 
 
-def test_typed_agrees_with_wire(spark, wired):
-    """A type accepts the same texts in both forms."""
-    for i, (oid, text, want) in enumerate(VECTORS):
-        if oid in P.NULLABLE_OIDS:
-            continue
-        wired[i]
+def test_typed_accepts_what_wire_accepts(spark):
     df = spark.createDataFrame([(i, o, t) for i, (o, t, _) in enumerate(VECTORS)], "i int, oid int, text string")
     for kind in P.CONVERTED:
         if kind.null_is_valid:
