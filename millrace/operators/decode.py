@@ -189,12 +189,24 @@ def table_view(
     else:
         bound = bound.withColumn("ts", F.lit(None).cast("timestamp"))
 
-    def typed(side: str) -> Column:
-        values = ", ".join(
+    def checked(side: str) -> Column:
+        """Values that can fail, and so are looked at more than once."""
+        values = [
             f"{pgtext.typed_value(f'get({side}, {i})', oid)} AS `{name}`"
             for i, (name, oid) in enumerate(columns)
-        )
-        return F.expr(f"CASE WHEN {side} IS NOT NULL THEN struct({values}) END")
+            if not pgtext.pg_type(oid).null_is_valid
+        ]
+        return F.expr(f"struct({', '.join(values)})" if values else "struct(1 AS none)")
+
+    def image(side: str) -> Column:
+        """All values. JSON never fails; it is parsed here, outside the compiled part above."""
+        values = [
+            f"{pgtext.typed_value(f'get({side}, {i})', oid)} AS `{name}`"
+            if pgtext.pg_type(oid).null_is_valid
+            else f"_{side}.`{name}` AS `{name}`"
+            for i, (name, oid) in enumerate(columns)
+        ]
+        return F.expr(f"CASE WHEN {side} IS NOT NULL THEN struct({', '.join(values)}) END")
 
     def failure(side: str) -> Column:
         """A value beyond the layout, or text whose typed value is missing."""
@@ -212,7 +224,7 @@ def table_view(
             "new": F.when(F.col("kind").isin(S.INSERT, S.UPDATE), F.col("new")),
         }
     )
-    out = once(used, _old=typed("old"), _new=typed("new")).select(
+    out = once(used, _old=checked("old"), _new=checked("new")).select(
         "seq",
         "lsn",
         "xid",
@@ -220,8 +232,8 @@ def table_view(
         "table",
         F.expr(OP).alias("op"),
         "ts",
-        F.col("_old").alias("before"),
-        F.col("_new").alias("after"),
+        image("old").alias("before"),
+        image("new").alias("after"),
         (failure("old") | failure("new")).alias("failed"),
     )
     return out if keep_errors else out.filter(~F.col("failed")).drop("failed")
