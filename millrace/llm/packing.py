@@ -43,7 +43,7 @@ PIECES = (
 OTHER = r"[^\t\n\r -~À-ÖØ-öø-ÿ]"
 LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 PATTERN = rf" ?[{LETTER}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s{LETTER}0-9]+|\s+(?!\S)|\s+"
-CACHED = 200_000
+CACHED = 400_000
 
 
 def _byte_values() -> dict[str, int]:
@@ -67,7 +67,6 @@ class PieceEncoder(dict):
         ranks = {bytes(byte[c] for c in t): i for t, i in self.whole.get_vocab().items() if t not in self.special}
         # The same vocabulary merged by a faster library; it gets single pieces.
         self.merge = tiktoken.Encoding("pieces", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.chunks = Chunks(self)
         self.find, self.other = re.compile(PATTERN).findall, re.compile(OTHER).search
         self.width = np.uint16 if self.whole.get_vocab_size() <= 1 << 16 else np.uint32
 
@@ -82,32 +81,9 @@ class PieceEncoder(dict):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.width).tobytes()
         if len(self) > CACHED:
             self.clear()
-        if len(self.chunks) > CACHED:
-            self.chunks.clear()
-        if "  " in text:
-            return self.by_piece(text)
-        # Without two spaces in a row, no piece of the pattern reaches over the space before a word.
-        first, *rest = text.split(" ")
-        return self.by_piece(first) + b"".join(map(self.chunks.__getitem__, rest))
-
-    def by_piece(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.find(text)))
 
 
-class Chunks(dict):
-    """What stands between two spaces to the ids of it and the space before it."""
-
-    def __init__(self, pieces: PieceEncoder) -> None:
-        super().__init__()
-        self.pieces = pieces
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.pieces.by_piece(" " + chunk)
-        if len(chunk) < 40:
-            self[chunk] = ids
-        return ids
-
-
 _encoders: dict[str, PieceEncoder] = {}
 
 
