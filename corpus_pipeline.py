@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import language, mixing, packing
+from millrace.llm import language, mixing, ngram_join, packing, substrings
 from millrace.llm.common import documents, fixed
 
 
@@ -15,6 +15,16 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language.accepted(docs)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates (shingles of five words, similarity 0.8 or more) one stays."""
+    return ngram_join.one_of_each(docs, words=5, percent=80)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that stand in an earlier document are cut out."""
+    return substrings.deduplicated(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every source as often as its target says."""
     return mixing.repeated(docs)
@@ -27,6 +37,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", known_language),
+    ("ngram join", one_of_each),
+    ("substrings", without_repeats),
     ("mixing", mixed),
     ("packing", packed),
 ]
@@ -37,5 +49,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = fixed(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = fixed(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

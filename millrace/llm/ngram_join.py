@@ -43,7 +43,7 @@ from .features import SPACE, word_hashes
 FRAGMENTS = 8
 FREQUENT = 100_000  # how many of the most frequent shingles are put last
 LOCALLY = 3  # in so many sets of one run of rows a shingle is worth counting
-ROUNDS = 3
+ROUNDS = 2
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -149,8 +149,9 @@ def _keys(words: int, percent: int, shared):
             chosen = (nth < needed[sets.doc]) & fresh[sets.doc]
             doc = sets.doc[chosen]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sets.values[chosen].view(np.int64)), pa.array(node[doc]), pa.array(n[doc].astype(np.int32))],
-                names=["key", "node", "n"],
+                [pa.array(sets.values[chosen].view(np.int64)), pa.array(node[doc]), pa.array(n[doc].astype(np.int32)),
+                 pa.array(nth[chosen].astype(np.int32))],
+                names=["key", "node", "n", "place"],
             )
 
     return keys
@@ -201,9 +202,11 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return parts.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("overlap"))
 
 
-def _alike(percent: int):
-    """Whether sizes alone allow a link."""
-    return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+def _within_reach(percent: int):
+    """Whether a pair can be linked if this is its first common key: what comes before the key in either
+    set is not in the other, so the overlap is at most what is left of the shorter rest."""
+    left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("there"))
+    return left * (100 + percent) >= (F.col("n") + F.col("m")) * percent
 
 
 class Join:
@@ -223,11 +226,11 @@ class Join:
         rank = np.arange(len(order))[::-1][order]  # the most frequent comes last
         shared = spark.sparkContext.broadcast((frequent[order], rank))
         keyed = rows.filter("doc_id is not null").mapInArrow(
-            _keys(words, percent, shared), "key bigint, node bigint, n int"
+            _keys(words, percent, shared), "key bigint, node bigint, n int, place int"
         )
         same = Window.partitionBy("key")
         ends = keyed.withColumns({"low": F.min("node").over(same), "high": F.max("node").over(same)})
-        self.open = fixed(ends.filter("low <> high").select("key", "node", "n").distinct(), "ngram-keys")
+        self.open = fixed(ends.filter("low <> high").select("key", "node", "n", "place").distinct(), "ngram-keys")
         wanted = self.open.select("node").distinct()
         first = self.sizes.filter("doc_id is not null and n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
         chosen = first.join(wanted, "node")
@@ -250,7 +253,7 @@ class Join:
             labelled = labelled.withColumns({"low": F.min("label").over(same), "high": F.max("label").over(same)})
             labelled = labelled.filter("low <> high").drop("low", "high")
             pairs = self._star(labelled, turn) if turn < ROUNDS else self._all(labelled)
-            pairs = pairs.filter(_alike(self.percent)).distinct()
+            pairs = pairs.distinct()
             if verified is not None:
                 pairs = pairs.join(verified.select("a", "b"), ["a", "b"], "left_anti")
             counted = fixed(overlaps(fixed(pairs, "ngram-pairs"), self.sets), "ngram-overlaps")
@@ -260,16 +263,15 @@ class Join:
             links = found if links is None else links.union(found)
             labels = components(links, "ngram-components")
             if turn < ROUNDS:
-                self.open = fixed(labelled.select("key", "node", "n"), "ngram-open")
+                self.open = fixed(labelled.select("key", "node", "n", "place"), "ngram-open")
                 if self.open.isEmpty():
                     break
         return labels
 
-    @staticmethod
-    def _pair(df: DataFrame) -> DataFrame:
-        """The smaller node first."""
+    def _pair(self, df: DataFrame) -> DataFrame:
+        """The pairs within reach, the smaller node first."""
         swap = F.col("node") < F.col("other")
-        return df.select(
+        return df.filter(_within_reach(self.percent)).select(
             F.when(swap, F.col("node")).otherwise(F.col("other")).alias("a"),
             F.when(swap, F.col("other")).otherwise(F.col("node")).alias("b"),
             F.when(swap, F.col("n")).otherwise(F.col("m")).alias("na"),
@@ -277,17 +279,19 @@ class Join:
         )
 
     def _star(self, labelled: DataFrame, turn: int) -> DataFrame:
-        """Every class under a key with the key's pivot, a different one in each turn."""
-        draw = F.xxhash64("node", F.lit(turn))
-        pivot = F.min(F.struct(draw.alias("draw"), F.col("node"), F.col("n"), F.col("label"))).over(Window.partitionBy("key"))
-        placed = labelled.withColumn("pivot", pivot).filter("label <> pivot.label")
-        return self._pair(placed.select("node", "n", F.col("pivot.node").alias("other"), F.col("pivot.n").alias("m")))
+        """Every class under a key with the key's pivot: first the one with the fewest shingles before the
+        key, as what is alike to many has few of its own; then any."""
+        first = F.col("place") if turn % 2 == 0 else F.lit(0)
+        order = F.struct(first.alias("first"), F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "n", "place", "label")
+        placed = labelled.withColumn("pivot", F.min(order).over(Window.partitionBy("key"))).filter("label <> pivot.label")
+        pivot = [F.col(f"pivot.{own}").alias(name) for own, name in (("node", "other"), ("n", "m"), ("place", "there"))]
+        return self._pair(placed.select("node", "n", "place", *pivot))
 
     def _all(self, labelled: DataFrame) -> DataFrame:
         """All pairs under a key that lie in different components."""
-        other = labelled.select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("label").alias("side"))
-        met = labelled.join(other, "key").filter("label <> side and node < other")
-        return self._pair(met.select("node", "n", "other", "m"))
+        names = {"node": "other", "n": "m", "place": "there", "label": "side"}
+        met = labelled.join(labelled.withColumnsRenamed(names), "key").filter("label <> side and node < other")
+        return self._pair(met.filter(_within_reach(self.percent)))
 
 
 def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import chat, fingerprints, language, mixing, neighbours, packing, quality, toxicity
+from . import chat, fingerprints, language, mixing, neighbours, ngram_join, packing, quality, substrings, toxicity
 from .common import documents
 
 
@@ -27,10 +27,18 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(configure(spark), sf_dir), _labels(spark, sf_dir))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_report(documents(configure(spark), sf_dir))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(configure(spark), sf_dir), keep_ids=False).drop("ids")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.groups(documents(configure(spark), sf_dir), words=3, percent=90)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(configure(spark), sf_dir))
 
@@ -51,7 +59,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_neighbours": op2_neighbours,
     "op3_quality": op3_quality,
+    "op4_substrings": op4_substrings,
     "op5_packing": op5_packing,
+    "op6_ngram_join": op6_ngram_join,
     "op7_language": op7_language,
     "op8_mixing": op8_mixing,
     "op9_chat": op9_chat,
