@@ -41,6 +41,7 @@ from .components import components
 from .features import SPACE, word_hashes
 
 FRAGMENTS = 8
+FILTER_BITS = 1 << 25  # 4 MB, whatever the input
 FREQUENT = 100_000  # how many of the most frequent shingles are put last
 LOCALLY = 3  # in so many sets of one run of rows a shingle is worth counting
 ROUNDS = 2
@@ -157,27 +158,52 @@ def _keys(words: int, percent: int, shared):
     return keys
 
 
-def _fragments(words: int):
+def _bits(ids: np.ndarray) -> list[np.ndarray]:
+    """The places of ids in the filter."""
+    mixed = mix64(ids.astype(np.int64).view(np.uint64))
+    return [(mixed >> np.uint64(shift)) % np.uint64(FILTER_BITS) for shift in (0, 32)]
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = np.unique(np.concatenate(_bits(batch.column("doc_id").to_numpy())))
+        bit = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(bit)], names=["at", "bit"])
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A filter of fixed size for any number of ids: it lets all of them pass, and the fewer they are the fewer others."""
+    marks = ids.mapInArrow(_marks, "at bigint, bit bigint").groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
+    words = np.zeros(FILTER_BITS // 64, np.uint64)
+    words[marks.column("at").to_numpy()] = marks.column("bit").to_numpy().view(np.uint64)
+    return words
+
+
+def _fragments(words: int, shared):
+    """The sets of the documents that the filter lets pass, by fragment."""
+
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = (np.arange(FRAGMENTS + 1, dtype=object) << 64) // FRAGMENTS
-        edges = np.array([min(int(e), 2**64 - 1) for e in edges], np.uint64)
-        for batch in pieces(batches):
-            sets = Sets(batch.column("text"), words)
-            node, _ = sets.digests()
-            wanted = batch.column("node").to_numpy(zero_copy_only=False)
-            out: list[list] = [[], [], []]
-            for i in np.flatnonzero((node == wanted) & (sets.n > 0)):
-                own = sets.values[sets.starts[i] : sets.starts[i + 1]]
-                cut = np.searchsorted(own, edges)
-                cut[-1] = len(own)
-                for f in range(FRAGMENTS):
-                    if cut[f] < cut[f + 1]:
-                        for column, value in zip(out, (node[i], f, own[cut[f] : cut[f + 1]].tobytes()), strict=True):
-                            column.append(value)
-            kinds = (pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["node", "fragment", "shingles"]
-            )
+        edges = np.array([min((i << 64) // FRAGMENTS, 2**64 - 1) for i in range(FRAGMENTS + 1)], np.uint64)
+        for batch in batches:
+            passed = np.ones(batch.num_rows, bool)
+            for at in _bits(batch.column("doc_id").to_numpy()):
+                passed &= (shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+            for part in pieces([batch.filter(pa.array(passed))]):
+                sets = Sets(part.column("text"), words)
+                node, _ = sets.digests()
+                out: list[list] = [[], [], []]
+                for i in np.flatnonzero(sets.n > 0):
+                    own = sets.values[sets.starts[i] : sets.starts[i + 1]]
+                    cut = np.searchsorted(own, edges)
+                    cut[-1] = len(own)
+                    for f in range(FRAGMENTS):
+                        if cut[f] < cut[f + 1]:
+                            for column, value in zip(out, (node[i], f, own[cut[f] : cut[f + 1]].tobytes()), strict=True):
+                                column.append(value)
+                kinds = (pa.int64(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["node", "fragment", "shingles"]
+                )
 
     return fragments
 
@@ -189,16 +215,19 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = np.concatenate([np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)])
             both.sort()
             counts.append(np.count_nonzero(both[1:] == both[:-1]))
-        rest = [batch.column(c) for c in ("a", "b", "na", "nb")]
-        yield pa.RecordBatch.from_arrays([*rest, pa.array(counts, pa.int64())], names=["a", "b", "na", "nb", "part"])
+        names = ["a", "b", "na", "nb", "fragment"]
+        rest = [batch.column(c) for c in names]
+        yield pa.RecordBatch.from_arrays([*rest, pa.array(counts, pa.int64())], names=[*names, "part"])
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``overlap`` of each pair: counted in every fragment by itself, then summed."""
     one = sets.withColumnsRenamed({"node": "a"})
     two = sets.withColumnsRenamed({"node": "b", "shingles": "others"})
-    placed = pairs.join(one, "a").join(two, ["b", "fragment"]).select("a", "b", "na", "nb", "shingles", "others")
-    parts = placed.mapInArrow(_overlaps, "a bigint, b bigint, na int, nb int, part bigint")
+    placed = pairs.join(one, "a").join(two, ["b", "fragment"]).select("a", "b", "na", "nb", "fragment", "shingles", "others")
+    parts = placed.mapInArrow(_overlaps, "a bigint, b bigint, na int, nb int, fragment int, part bigint")
+    # Rows that repeat an id bring a fragment twice, with the same count.
+    parts = parts.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("part").alias("part"))
     return parts.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("overlap"))
 
 
@@ -231,13 +260,17 @@ class Join:
         same = Window.partitionBy("key")
         ends = keyed.withColumns({"low": F.min("node").over(same), "high": F.max("node").over(same)})
         self.open = fixed(ends.filter("low <> high").select("key", "node", "n", "place").distinct(), "ngram-keys")
-        wanted = self.open.select("node").distinct()
-        first = self.sizes.filter("doc_id is not null and n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-        chosen = first.join(wanted, "node")
-        found = rows.join(chosen, "doc_id").mapInArrow(_fragments(words), "node bigint, fragment int, shingles binary")
-        # Rows that repeat an id bring a set twice.
-        self.sets = fixed(found.groupBy("node", "fragment").agg(F.first("shingles").alias("shingles")), "ngram-fragments")
-        self.first = first
+        self.rows = rows.filter("doc_id is not null")
+        self.first = fixed(
+            self.sizes.filter("doc_id is not null and n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "ngram-first"
+        )
+
+    def sets(self, pairs: DataFrame) -> DataFrame:
+        """The sets of the classes in ``pairs``, read from one document of each; others may be among them."""
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        shared = pairs.sparkSession.sparkContext.broadcast(id_filter(self.first.join(nodes, "node").select("doc_id")))
+        found = self.rows.mapInArrow(_fragments(self.words, shared), "node bigint, fragment int, shingles binary")
+        return fixed(found, "ngram-fragments")
 
     def labels(self) -> DataFrame:
         """The component of every class that has a link, by verified links."""
@@ -256,13 +289,16 @@ class Join:
             pairs = pairs.distinct()
             if verified is not None:
                 pairs = pairs.join(verified.select("a", "b"), ["a", "b"], "left_anti")
-            counted = fixed(overlaps(fixed(pairs, "ngram-pairs"), self.sets), "ngram-overlaps")
+            pairs = fixed(pairs, "ngram-pairs")
+            if pairs.isEmpty() and labels is not None:
+                continue
+            counted = fixed(overlaps(pairs, self.sets(pairs)), "ngram-overlaps")
             held = F.col("overlap") * 100 >= (F.col("na") + F.col("nb") - F.col("overlap")) * self.percent
             found = counted.filter(held).select("a", "b")
             verified = counted if verified is None else verified.union(counted)
             links = found if links is None else links.union(found)
             labels = components(links, "ngram-components")
-            if turn < ROUNDS:
+            if turn < ROUNDS:  # keys all of whose classes had come together before are closed
                 self.open = fixed(labelled.select("key", "node", "n", "place"), "ngram-open")
                 if self.open.isEmpty():
                     break
