@@ -2,9 +2,9 @@
 
 A document's set is its distinct word shingles. One order of all shingles is fixed
 for everybody: by their hash, but those found frequent come last, the most
-frequent at the very end. Two sets that are alike enough share a shingle among
-the first few of each in that order, whatever the order is, so these are the keys
-under which pairs are sought; frequent passages don't become keys unless a
+frequent at the very end. Two sets that are alike enough share ``SHARED`` shingles
+among the first few of each in that order, whatever the order is, so these are the
+keys under which pairs are sought; frequent passages don't become keys unless a
 document is little else. Which shingles count as frequent therefore decides
 about the work only, never about the links.
 
@@ -42,9 +42,10 @@ from .features import SPACE, word_hashes
 
 FRAGMENTS = 8
 FILTER_BITS = 1 << 25  # 4 MB, whatever the input
-FREQUENT = 100_000  # how many of the most frequent shingles are put last
+FREQUENT = 250_000  # how many of the most frequent shingles are put last
 LOCALLY = 3  # in so many sets of one run of rows a shingle is worth counting
 ROUNDS = 2
+SHARED = 3  # keys that a pair must have in common, or all its overlap if that is less
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -135,7 +136,7 @@ def _keys(words: int, percent: int, shared):
             if len(seen) > 500_000:
                 seen.clear()
             n = sets.n.astype(np.int64)
-            needed = n - -(-n * percent // 100) + 1
+            needed = n - -(-n * percent // 100) + SHARED
             at = np.searchsorted(frequent, sets.values)
             at[at == len(frequent)] = 0
             late = frequent[at] == sets.values if len(frequent) else np.zeros(len(at), bool)
@@ -232,9 +233,10 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _within_reach(percent: int):
-    """Whether a pair can be linked if this is its first common key: what comes before the key in either
-    set is not in the other, so the overlap is at most what is left of the shorter rest."""
-    left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("there"))
+    """Whether a pair can be linked if this is one of its first ``SHARED`` common keys: of what comes before
+    the key in either set, no more than the earlier keys are in the other, so the overlap is at most these
+    and what is left of the shorter rest."""
+    left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("there")) + SHARED - 1
     return left * (100 + percent) >= (F.col("n") + F.col("m")) * percent
 
 
@@ -286,7 +288,9 @@ class Join:
             labelled = labelled.withColumns({"low": F.min("label").over(same), "high": F.max("label").over(same)})
             labelled = labelled.filter("low <> high").drop("low", "high")
             pairs = self._star(labelled, turn) if turn < ROUNDS else self._all(labelled)
-            pairs = pairs.distinct()
+            least = F.ceil((F.col("na") + F.col("nb")) * self.percent / (100 + self.percent))
+            pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("keys"))
+            pairs = pairs.filter(F.col("keys") >= F.least(F.lit(SHARED), least)).drop("keys")
             if verified is not None:
                 pairs = pairs.join(verified.select("a", "b"), ["a", "b"], "left_anti")
             pairs = fixed(pairs, "ngram-pairs")
