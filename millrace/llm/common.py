@@ -76,7 +76,7 @@ def sampled(labelled: DataFrame, label: str, rates: dict, seed: int) -> DataFram
     return labelled.filter(chance(F.col("doc_id"), seed) < rate)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4_000_000):
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1_500_000):
     """Runs of rows with about ``most`` bytes of text: bounded working memory whatever the batch size.
 
     A single longer text is a run of its own. NULL texts count as empty.

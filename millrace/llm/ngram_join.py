@@ -42,8 +42,9 @@ from .features import SPACE, word_hashes
 
 FRAGMENTS = 8
 FILTER_BITS = 1 << 25  # 4 MB, whatever the input
-FREQUENT = 250_000  # how many of the most frequent shingles are put last
-LOCALLY = 3  # in so many sets of one run of rows a shingle is worth counting
+FREQUENT = 1_000_000  # how many of the most frequent shingles are put last
+LOCALLY = 2  # in so many sets of one run of rows a shingle is worth counting
+RUN = 3_000_000  # shingles of a run
 ROUNDS = 2
 SHARED = 3  # keys that a pair must have in common, or all its overlap if that is less
 LOWER = np.arange(256, dtype=np.uint8)
@@ -94,27 +95,33 @@ class Sets:
 def _described(words: int):
     """Size and digests of every set, and the shingles that many sets of a run share (NULL id and size)."""
 
+    def told(rows: tuple, shingle: bool) -> pa.RecordBatch:
+        names = ["doc_id", "n", "node", "check", "shingle"]
+        return pa.RecordBatch.from_arrays([*rows, pa.array(np.full(len(rows[0]), shingle))], names=names)
+
+    def frequent(waiting: list[np.ndarray]) -> pa.RecordBatch:
+        shingle, times = np.unique(np.concatenate([*waiting, np.zeros(0, np.uint64)]), return_counts=True)
+        common = times >= LOCALLY
+        none = pa.nulls(int(common.sum()), pa.int64())
+        return told((none, none, pa.array(shingle[common].view(np.int64)), pa.array(times[common].astype(np.int64))), True)
+
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size, seen = [], 0, set()
         for batch in pieces(batches):
             sets = Sets(batch.column("text"), words)
             node, check = sets.digests()
-            _, first = np.unique(node, return_index=True)
-            once = np.zeros(len(node), bool)
-            once[first] = True
-            shingle, times = np.unique(sets.values[once[sets.doc]], return_counts=True)
-            common = times >= LOCALLY
-            rows, more = len(node), int(common.sum())
-            none = pa.nulls(more, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([batch.column("doc_id"), none]),
-                    pa.concat_arrays([pa.array(sets.n.astype(np.int64)), none]),
-                    pa.concat_arrays([pa.array(node, mask=sets.n == 0), pa.array(shingle[common].view(np.int64))]),
-                    pa.concat_arrays([pa.array(check), pa.array(times[common].astype(np.int64))]),
-                    pa.array(np.repeat([False, True], [rows, more])),
-                ],
-                names=["doc_id", "n", "node", "check", "shingle"],
-            )
+            fresh = np.zeros(len(node), bool)
+            for i, x in enumerate(node.tolist()):
+                fresh[i] = x not in seen
+                seen.add(x)
+            waiting.append(sets.values[fresh[sets.doc]])
+            size += len(waiting[-1])
+            if size > RUN:
+                yield frequent(waiting)
+                waiting, size, seen = [], 0, set()
+            doc_id = batch.column("doc_id").cast(pa.int64())
+            yield told((doc_id, pa.array(sets.n.astype(np.int64)), pa.array(node, mask=sets.n == 0), pa.array(check)), False)
+        yield frequent(waiting)
 
     return described
 
@@ -254,7 +261,7 @@ class Join:
         top = counted.orderBy(F.desc("times"), "node").limit(FREQUENT).toArrow()  # bounded by FREQUENT
         frequent = top.column("node").to_numpy().view(np.uint64)
         order = np.argsort(frequent)
-        rank = np.arange(len(order))[::-1][order]  # the most frequent comes last
+        rank = np.arange(len(order), dtype=np.int32)[::-1][order]  # the most frequent comes last
         shared = spark.sparkContext.broadcast((frequent[order], rank))
         keyed = rows.filter("doc_id is not null").mapInArrow(
             _keys(words, percent, shared), "key bigint, node bigint, n int, place int"

@@ -43,7 +43,7 @@ PIECES = (
 OTHER = r"[^\t\n\r -~À-ÖØ-öø-ÿ]"
 LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 PATTERN = rf" ?[{LETTER}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s{LETTER}0-9]+|\s+(?!\S)|\s+"
-CACHED = 400_000
+CACHED = 200_000
 
 
 def _byte_values() -> dict[str, int]:
