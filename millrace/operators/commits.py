@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.operators.lookup import MAX_BROADCAST_ROWS, left_lookup
+from millrace.operators.lookup import MAX_BROADCAST_ROWS, asof_lookup, within
 
 TRANSACTION = "transaction"
 LAST_SEEN = "last_seen_commit"
@@ -35,11 +35,25 @@ def previous_commit(commits: DataFrame, piece: int = PIECE) -> DataFrame:
         .join(carried, "_piece", "left")
         .select(
             "xid",
+            "seq",
             F.when(F.col("_rank") == 1, F.col("_carried")).otherwise(F.col("_lag")).alias("ts"),
         )
     )
 
 
+def own_spans(commits: DataFrame) -> DataFrame:
+    """Each commit with the part of the sequence whose changes it commits.
+
+    A transaction may be delivered again, and its number used again: a change belongs to
+    the next commit of its number, so the part begins after the one before.
+    """
+    before = F.lag("seq").over(W.partitionBy("xid").orderBy("seq"))
+    spans = commits.withColumns(
+        {"_from": F.coalesce(before + 1, F.lit(-(1 << 63))), "_to": F.col("seq") + 1}
+    )
+    return spans.drop("seq")
+
+
 def stamp_commit_time(
     changes: DataFrame,
     commits: DataFrame,
@@ -56,16 +70,21 @@ def stamp_commit_time(
     carried in from an earlier part of the log.
     """
     if mode == TRANSACTION:
-        own = commits.select("xid", F.col("commit_ts").alias("ts"))
-        return left_lookup(changes, own, "xid", broadcast_rows=broadcast_rows)
+        own = own_spans(commits.select("xid", "seq", F.col("commit_ts").alias("ts")))
+        return _of_own_commit(changes, own, broadcast_rows)
     if mode != LAST_SEEN:
         raise ValueError(f"unknown ts mode: {mode}")
     carried = F.lit(last_before).cast("timestamp")
-    earlier = previous_commit(commits).withColumn("_own", F.lit(True))
-    stamped = left_lookup(changes, earlier, "xid", broadcast_rows=broadcast_rows)
+    earlier = own_spans(previous_commit(commits)).withColumn("_own", F.lit(True))
+    stamped = _of_own_commit(changes, earlier, broadcast_rows)
     # A change whose own commit is not in this part of the log follows all commits in it.
     newest = commits.agg(F.max(F.struct("seq", "commit_ts"))["commit_ts"]).first()[0]
     tail = F.coalesce(F.lit(newest).cast("timestamp"), carried)
     return stamped.withColumn(
         "ts", F.when(F.col("_own"), F.coalesce("ts", carried)).otherwise(tail)
     ).drop("_own")
+
+
+def _of_own_commit(changes: DataFrame, spans: DataFrame, broadcast_rows: int) -> DataFrame:
+    small = within(spans, broadcast_rows)
+    return asof_lookup(changes, spans, "xid", ("_from", "_to"), small).drop("_from", "_to")

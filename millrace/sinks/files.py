@@ -6,6 +6,7 @@ from collections.abc import Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace import store
@@ -65,11 +66,19 @@ def with_segments(lines: DataFrame, max_size: int) -> DataFrame:
     )
 
 
-def retained(segments: DataFrame, max_files: int) -> DataFrame:
-    """The newest ``max_files`` rotated segments and the current one; 0 keeps all."""
+def retained(segments: DataFrame, max_files: int, max_size: int) -> DataFrame:
+    """The newest segments; 0 files keeps all.
+
+    A segment goes only when those after it hold more than ``max_files`` full segments' worth
+    of bytes, so what stays does not depend on how many tasks wrote it. One row per
+    segment passes through the window.
+    """
     if max_files <= 0:
         return segments
-    return segments.orderBy(*(F.desc(c) for c in ORDER)).limit(max_files + 1)
+    newer = W.orderBy(*(F.desc(c) for c in ORDER)).rowsBetween(W.unboundedPreceding, -1)
+    after = F.coalesce(F.sum("bytes").over(newer), F.lit(0))
+    kept = segments.withColumn("_after", after).filter(F.col("_after") <= max_files * max_size)
+    return kept.drop("_after")
 
 
 class JsonLinesSink:
@@ -118,7 +127,7 @@ class JsonLinesSink:
     def drop_expired(self, spark) -> None:
         """Delete segments beyond the retention; deleting one again does nothing."""
         manifest = self.segments(spark)
-        keep = retained(manifest, self.max_files)
+        keep = retained(manifest, self.max_files, self.max_size)
         for row in manifest.select(*ORDER).exceptAll(keep.select(*ORDER)).toLocalIterator():
             store.delete(
                 spark, f"{self.path}/lines/batch={row.batch}/writer={row.writer}/segment={row.segment}"

@@ -155,6 +155,22 @@ def test_commit_times(spark):
     assert sorted(pieces.collect()) == sorted(whole.collect())
 
 
+def test_commit_times_of_redelivered_and_reused_numbers(spark):
+    rows, want = [relation(0, USERS)], {}
+    for turn, (xid, second) in enumerate([(1, 10), (2, 20), (1, 10), (3, 30), (2, 40)]):
+        for i in range(2):
+            rows.append(change(turn * 10 + 1 + i, "I", 100, new=["1", "a"], xid=xid))
+            want[turn * 10 + 1 + i] = second
+        rows.append(commit(turn * 10 + 9, xid, second))
+    log = ChangeLog.of(raw(spark, rows))
+    for limit in (10_000, 2):
+        own = commits.stamp_commit_time(log.changes, log.commits, "transaction", limit)
+        got = [(r.seq, r.s) for r in own.select("seq", F.second("ts").alias("s")).collect()]
+        assert sorted(got) == sorted((k, v if v < 60 else v - 60) for k, v in want.items())
+        seen = commits.stamp_commit_time(log.changes, log.commits, "last_seen_commit", limit)
+        assert seen.count() == len(want)
+
+
 def test_carried_commit_time(spark):
     rows = [relation(0, USERS), change(1, "I", 100, new=["1", "a"], xid=5), commit(2, 5, 30)]
     rows.append(change(3, "I", 100, new=["1", "a"], xid=6))
