@@ -49,7 +49,7 @@ def own_spans(commits: DataFrame) -> DataFrame:
     """
     before = F.lag("seq").over(W.partitionBy("xid").orderBy("seq"))
     spans = commits.withColumns(
-        {"_from": F.coalesce(before + 1, F.lit(-(1 << 63))), "_to": F.col("seq") + 1}
+        {"_from": F.coalesce(before + 1, F.lit(-(1 << 62))), "_to": F.col("seq") + 1}
     )
     return spans.drop("seq")
 
