@@ -8,6 +8,10 @@ far, scaled up, is held against the best found by a test whose error shrinks wit
 the number of components read, and candidates that fail are abandoned. What is
 left is scored exactly on the original vectors.
 
+A query first scans the share ``NEAR`` of lists nearest to it; the k-th best score
+found there is its limit in all others, so that most of their candidates go after
+one block of columns, and about as many stay for a query whatever the table's size.
+
 The centres are fitted on at most about ``SAMPLE`` vectors; every vector is
 indexed. Lists and their queries are cut into blocks by size, so a large list is
 many tasks. A query goes on to further lists until these hold ten times the
@@ -32,13 +36,13 @@ from .common import chance, fixed
 SAMPLE = 16_000
 LISTS = 1024
 PROBE = 0.6  # share of the lists that a query scans
+NEAR = 0.05  # share of the lists scanned first
 ERROR = 2.1  # how many standard errors a candidate may lie behind
 COLUMNS = 16
 BLOCK = 4096
 SEED = 23
 EVERY = 20
 K = 20
-SMALL = "list int, vblock int, qblock int, vec_id bigint, embedding array<double>"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -89,10 +93,17 @@ def slack(seen: int, of: int) -> float:
     return (1 + ERROR * ((1 - seen / of) / seen) ** 0.5) ** 2 * (1 + 1e-9)
 
 
-def scan(index: Index, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """The best candidates of one block of a list for some queries: query, id, score."""
+def scan(
+    index: Index, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, worst: np.ndarray, k: int
+):
+    """The best candidates of one block of a list for some queries: query, id, score.
+
+    ``worst`` is the score that each query's candidates must reach, minus infinity where none is known.
+    """
     x, q = index.rotated(vectors), index.rotated(queries, query=True)
     d = x.shape[1]
+    whole = index.radius**2 + (queries**2).sum(1)
+    known = whole - 2 * worst + 1e-12 * whole
     found: list[tuple] = []
     for start in range(0, len(q), 128):
         part, own = q[start : start + 128], query_ids[start : start + 128]
@@ -100,12 +111,14 @@ def scan(index: Index, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarr
         a, b = part[:, :seen], x[:, :seen]
         so_far = (a**2).sum(1)[:, None] + (b**2).sum(1) - 2 * a @ b.T
         so_far[own[:, None] == ids] = np.inf
+        limit = known[start : start + 128]
         few = min(k, len(ids))
-        first = np.argpartition(so_far, few - 1, 1)[:, :few]
-        exact = ((part[:, None, :] - x[first]) ** 2).sum(2)
-        exact[np.isinf(np.take_along_axis(so_far, first, 1))] = np.inf
-        # The worst of k full distances bounds the k-th best; with fewer candidates there is no bound.
-        limit = exact.max(1) if few == k else np.full(len(part), np.inf)
+        if few == k and np.isinf(limit).any():
+            # The worst of k full distances bounds the k-th best; with fewer candidates there is no bound.
+            first = np.argpartition(so_far, few - 1, 1)[:, :few]
+            exact = ((part[:, None, :] - x[first]) ** 2).sum(2)
+            exact[np.isinf(np.take_along_axis(so_far, first, 1))] = np.inf
+            limit = np.minimum(limit, exact.max(1))
         limit = limit * (1 + 1e-9) + 1e-9
         row, col = np.nonzero(so_far * (d / seen) <= (limit * slack(seen, d))[:, None])
         ahead = so_far[row, col]
@@ -154,50 +167,60 @@ def search(vectors: DataFrame, every: int = EVERY, k: int = K, probe: float = PR
     for r in listed.groupBy("list").count().collect():  # one row for each list
         sizes[r[0]] = r[1]
 
-    def to_lists(batches):
-        for batch in batches:
-            order = shared.value.nearest(shared.value.rotated(_matrix(batch.column("embedding")), query=True), lists) if batch.num_rows else np.zeros((0, lists), np.int64)
-            held = np.cumsum(sizes[order], 1) - sizes[order]
-            row, nth = np.nonzero((np.arange(lists) < np.ceil(probe * lists)) | (held < 10 * k))
-            row_index = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(order[row, nth].astype(np.int32)),
-                    batch.column("vec_id").take(row_index),
-                    batch.column("embedding").take(row_index),
-                ],
-                names=["list", "vec_id", "embedding"],
-            )
+    def to_lists(first: bool):
+        def placed(batches):
+            for batch in batches:
+                points = _matrix(batch.column("embedding"))
+                if not len(points):
+                    continue
+                order = shared.value.nearest(shared.value.rotated(points, query=True), lists)
+                nth = np.arange(lists)
+                near = (nth < np.ceil(NEAR * lists)) | (np.cumsum(sizes[order], 1) - sizes[order] < 10 * k)
+                row, nth = np.nonzero(near if first else (nth < np.ceil(probe * lists)) & ~near)
+                rest = [batch.column(c).take(pa.array(row)) for c in ("vec_id", "embedding", "worst")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(order[row, nth].astype(np.int32)), *rest], names=["list", "vec_id", "embedding", "worst"]
+                )
+
+        return placed
 
-    asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
-    asked = asked.mapInArrow(to_lists, "list int, vec_id bigint, embedding array<double>")
-    asked = fixed(asked, "vector-queries")
-    queries = {r[0]: r[1] for r in asked.groupBy("list").count().collect()}
-    blocks = spark.createDataFrame(
-        [(i, -(-int(sizes[i]) // BLOCK), -(-n // BLOCK)) for i, n in queries.items() if sizes[i]],
-        "list int, vblocks int, qblocks int",
-    )
     key = ["list", "vblock", "qblock"]
 
-    def blocked(side: DataFrame, own: str, other: str, n_own: str, n_other: str) -> DataFrame:
+    def blocked(side: DataFrame, blocks: DataFrame, own: str, other: str) -> DataFrame:
         placed = side.join(F.broadcast(blocks), "list")  # one row for each list
-        placed = placed.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.col(n_own)).cast("int"))
-        placed = placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
-        return placed.select(*key, "vec_id", "embedding")
-
-    stored = blocked(listed, "vblock", "qblock", "vblocks", "qblocks").groupBy(*key)
-    posed = blocked(asked, "qblock", "vblock", "qblocks", "vblocks").groupBy(*key)
+        placed = placed.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.col(f"{own}s")).cast("int"))
+        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1))).drop("vblocks", "qblocks")
 
     def scanned(left: pa.Table, right: pa.Table) -> pa.Table:
         kinds = ["query_id", "vec_id", "score"]
         if not left.num_rows or not right.num_rows:
             empty = [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())]
             return pa.Table.from_arrays(empty, names=kinds)
-        ids, query_ids = (t.column("vec_id").to_numpy() for t in (left, right))
-        out = scan(shared.value, ids, _matrix(left.column("embedding")), query_ids, _matrix(right.column("embedding")), k)
+        ids, query_ids, worst = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy(), right.column("worst").to_numpy()
+        out = scan(shared.value, ids, _matrix(left.column("embedding")), query_ids, _matrix(right.column("embedding")), worst, k)
         return pa.Table.from_arrays([pa.array(c) for c in out], names=kinds)
 
-    found = stored.cogroup(posed).applyInArrow(scanned, "query_id bigint, vec_id bigint, score double")
+    def passed(queries: DataFrame, first: bool) -> DataFrame:
+        """What the queries find in their nearest lists, or in the further ones."""
+        schema = "list int, vec_id bigint, embedding array<double>, worst double"
+        asked = fixed(queries.mapInArrow(to_lists(first), schema), "vector-queries")
+        counts = [(r[0], r[1]) for r in asked.groupBy("list").count().collect()]  # one row for each list
+        blocks = spark.createDataFrame(
+            [(i, -(-int(sizes[i]) // BLOCK), -(-n // BLOCK)) for i, n in counts if sizes[i]],
+            "list int, vblocks int, qblocks int",
+        )
+        stored = blocked(listed, blocks, "vblock", "qblock").groupBy(*key)
+        posed = blocked(asked, blocks, "qblock", "vblock").groupBy(*key)
+        return stored.cogroup(posed).applyInArrow(scanned, "query_id bigint, vec_id bigint, score double")
+
+    queries = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
+    near = fixed(passed(queries.withColumn("worst", F.lit(float("-inf"))), True), "vector-near")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
+
+    limits = ranked(near).filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("worst"))
+    bounded = queries.join(limits, "vec_id", "left").withColumn("worst", F.coalesce("worst", F.lit(float("-inf"))))
+    found = near.union(passed(bounded, False))
+    return ranked(found).select("query_id", "rank", "vec_id", "score")
