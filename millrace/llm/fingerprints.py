@@ -13,7 +13,7 @@ are equal, with likeness 1.
 
 Defined results: a NULL text is empty; the likeness of two empty texts is 1, that
 of an empty and another text 0. Texts shorter than a span are one span. Rows are
-ordered by id, NULL first, ties by text. A table of one row has itself as next.
+ordered by id, NULL first, ties by a hash of the text. A table of one row has itself as next.
 An empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -238,8 +238,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     over two rows for each range.
     """
     ship_package(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ranged = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("draw"))
+    # The keys are sampled on the driver, so the text itself is none of them.
+    ranged = rows.repartitionByRange("doc_id", "draw").sortWithinPartitions("doc_id", "draw", "text")
     found = fixed(ranged.mapInArrow(_range, ROW), "fingerprints")
     place = found.filter("place is not null")
     ranges = place.filter("place = 0").select("part")
