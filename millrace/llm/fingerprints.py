@@ -248,6 +248,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     first = F.min("part").over(Window.partitionBy())
     following = ranges.select("part", F.coalesce(F.lead("part").over(order), first).alias("next"))
     heads = place.filter("place = 0").select(F.col("part").alias("next"), F.col("text").alias("next_text"))
-    ends = place.filter("place = 1").select("part", "doc_id", "text").join(following, "part").join(heads, "next")
+    # Texts of the edges are as long as documents are, so they meet in a shuffle; only part numbers may be broadcast.
+    ends = place.filter("place = 1").select("part", "doc_id", "text").join(following, "part")
+    ends = ends.hint("merge").join(heads.hint("merge"), "next")
     edges = ends.select("doc_id", "text", "next_text").mapInArrow(_edges, ROW)
     return found.filter("place is null").unionByName(edges).drop("part", "place", "text")
