@@ -11,12 +11,24 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
+from ..session import shared_folder, ship_package
 
 # What separates words in all contracts: space and the five ASCII controls from tab to return.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# The most that a batch handed to Python holds, beyond its last row: texts differ in length by thousands.
+BATCH_BYTES = 4 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ships the package and bounds the bytes of a batch, which is kept on both sides of the pipe to Python."""
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) != str(BATCH_BYTES):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -28,8 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .common import fixed, mix64, pieces
+from .common import fixed, mix64, pieces, prepare
 
 PRIME = 2147483647
 PRIME_BASE = 1_000_003
@@ -237,7 +236,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     its range; the last of a range meets the first of the next in a second step
     over two rows for each range.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("draw"))
     # The keys are sampled on the driver, so the text itself is none of them.
     ranged = rows.repartitionByRange("doc_id", "draw").sortWithinPartitions("doc_id", "draw", "text")

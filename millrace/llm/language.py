@@ -26,8 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .common import held_out, pieces, sample_rates, sampled, segment_sums
+from .common import held_out, pieces, prepare, sample_rates, sampled, segment_sums
 from .features import LETTERS, framed, grams
 
 BITS = 16
@@ -206,7 +205,7 @@ def _answered(model, columns: list[str], schema: str):
 
 def predict(docs: DataFrame, model: Model, parts: int = 4, rest: int = 2) -> DataFrame:
     """``lang_pred`` and how sure it is, for each row."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id"), parts, rest).alias("held_out"), "text"
@@ -222,7 +221,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, least: float = REJECT) -> DataFrame:
     """The documents whose language is known well enough; all their columns, nothing added."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs))
     kept = docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(docs.columns)], F.col("text").alias("text"))
     names = [f"__c{i}" for i in range(len(docs.columns))]

@@ -30,8 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .common import chance, fixed
+from .common import chance, fixed, prepare
 
 SAMPLE = 16_000
 LISTS = 1024
@@ -141,7 +140,7 @@ def scan(
 def search(vectors: DataFrame, every: int = EVERY, k: int = K, probe: float = PROBE) -> DataFrame:
     """Each query's ``k`` nearest found: ``query_id, rank, vec_id, score``."""
     spark = vectors.sparkSession
-    ship_package(spark)
+    prepare(spark)
     rows = fixed(usable(vectors), "vectors")
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
     facts = rows.agg(F.count("*").alias("n"), F.max(length).alias("radius")).first()

@@ -35,8 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .common import fixed, joined_bytes, mix64, pieces
+from .common import fixed, joined_bytes, mix64, pieces, prepare
 from .components import components
 from .features import SPACE, word_hashes
 
@@ -251,7 +250,7 @@ class Join:
     """Everything one join needs, from the documents to the components of their classes."""
 
     def __init__(self, docs: DataFrame, words: int, percent: int) -> None:
-        ship_package(docs.sparkSession)
+        prepare(docs.sparkSession)
         self.words, self.percent, spark = words, percent, docs.sparkSession
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         schema = "doc_id bigint, n bigint, node bigint, check bigint, shingle boolean"

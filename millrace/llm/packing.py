@@ -28,8 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .common import fixed, part_offsets, pieces
+from .common import fixed, part_offsets, pieces, prepare
 
 LENGTH = 2048
 END_ID = 1
@@ -154,7 +153,7 @@ def pack(
     keep_ids: bool = True,
 ) -> DataFrame:
     """Pieces of documents and their place in sequences; ``ids`` are little-endian unsigned 32-bit ids."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     path = tokenizer or default_tokenizer()
     rows = fixed(tokenised(docs, tokenizer, end_id), "pack-ids")
     before = part_offsets(rows.groupBy("part").agg(F.sum("n").alias("total")), "part", "total")

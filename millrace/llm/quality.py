@@ -23,8 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .common import held_out, mix64, pieces, sample_rates, sampled, segment_sums
+from .common import held_out, mix64, pieces, prepare, sample_rates, sampled, segment_sums
 from .features import SPACE, framed, grams, word_hashes
 
 BITS = 18
@@ -111,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 4, rest: int = 2, per_l
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], parts: int = 4, rest: int = 2, threshold: float = 0.7) -> DataFrame:
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     weights, bias = docs.sparkSession.sparkContext.broadcast(model[0].astype(np.float32)), model[1]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,8 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from ..session import ship_package
-from .common import fixed, mix64, pieces, plain_bytes
+from .common import fixed, mix64, pieces, plain_bytes, prepare
 
 SHORTEST, LONGEST = 16, 128  # bytes of a chunk
 ZERO_BITS = 4  # leading bits of the 16-bit hash that are zero at a cut: every 16th place on average
@@ -115,7 +114,7 @@ def mark_of(text: Column) -> Column:
 
 def repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, mark, spans``: the start and length in bytes of every repeated chunk that isn't the first."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
     rows = rows.select("doc_id", mark_of(F.col("text")).alias("mark"), "text")
     # A NULL digest: known not to be the first.

@@ -28,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .common import held_out, pieces, sample_rates, sampled
+from .common import held_out, pieces, prepare, sample_rates, sampled
 from .features import framed, grams, word_hashes
 
 WINDOW, STRIDE = 40, 32
@@ -273,7 +272,7 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 3, rest: int = 1, per_l
 
 
 def score(docs: DataFrame, network: Network | None, parts: int = 3, rest: int = 1, threshold: float = 0.7) -> DataFrame:
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
