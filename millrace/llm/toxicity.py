@@ -13,7 +13,9 @@ the labelled rows: at most ``PER_LABEL`` of each label, with texts of at most
 every sampled document, from its window that scores highest so far (at first: by
 log odds of words) and from another one of those without the label.
 
-Words are runs of ASCII letters and digits and of non-ASCII characters, lower-cased.
+Words are runs of ASCII letters and digits and of non-ASCII characters but for
+spaces and punctuation, lower-cased. A run of more than ``PIECE`` bytes, as scripts
+without spaces have, is cut at character borders into words of at most ``PIECE``.
 Defined results: a NULL or empty text, or one without words, is one empty window
 and scores the output's bias. Without both labels every score is 0. Repeated rows
 are scored alike. An empty table gives an empty result. Extra columns are ignored.
@@ -21,10 +23,12 @@ are scored alike. An empty table gives an empty result. Extra columns are ignore
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,13 +45,33 @@ EPOCHS = 8
 SEED = 17
 INSIDE = np.zeros(256, bool)
 INSIDE[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
+PIECE = 48  # bytes of a word
+# Spaces and punctuation outside ASCII.
+BORDER = "[%s]+" % "".join(c for c in map(chr, range(128, 1 << 16)) if unicodedata.category(c)[0] in "ZP" or c in "\x85\u200b")
+
+
+def parted(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts with a space wherever a run of more than ``PIECE`` bytes is cut."""
+    edges = np.diff(np.concatenate([[False], INSIDE[data], [False]]).astype(np.int8))
+    begins, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    long = np.flatnonzero(ends - begins > PIECE)
+    if not len(long):
+        return data, starts
+    step = PIECE - 3  # a cut moves back by up to three bytes, to where a character begins
+    count = -(-(ends - begins)[long] // step) - 1
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    cuts = np.repeat(begins[long], count) + (nth + 1) * step
+    for _ in range(3):
+        cuts -= (data[cuts] & 0xC0) == 0x80
+    return np.insert(data, cuts, np.uint8(32)), starts + np.searchsorted(cuts, starts)
 
 
 class Words:
     """The words of some texts: each one's number among the distinct ones, and where each text's begin."""
 
     def __init__(self, texts: pa.Array) -> None:
-        data, starts = framed(texts, lower=True)
+        data, starts = framed(pc.replace_substring_regex(texts, BORDER, " "), lower=True)
+        data, starts = parted(data, starts)
         if not len(data):
             data = np.full(3, 32, np.uint8)
             starts = np.zeros(len(texts) + 1, np.int64)
@@ -58,7 +82,7 @@ class Words:
         self.bucket = (distinct >> np.uint64(64 - WORD_BITS)).astype(np.int64)
         # A word of n bytes has n trigrams, the first and last with the edge.
         trigrams = grams(np.where(inside, data, np.uint8(32)), 3, CHAR_BITS)
-        lengths = np.minimum(ends - begins, 64)[first]
+        lengths = (ends - begins)[first]
         self.chars = np.concatenate([[0], np.cumsum(lengths)])
         at = np.repeat(begins[first] - 1 - self.chars[:-1], lengths) + np.arange(self.chars[-1])
         self.trigram = trigrams[at].astype(np.int64)

@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import chat, fingerprints, language, mixing, ngram_join, packing, quality, substrings, toxicity
@@ -120,6 +121,31 @@ def test_classifiers_on_edge_rows(spark, docs):
     assert said[5] == "und" and said[6] == "und"
 
 
+def test_toxicity_reads_long_runs_whole():
+    plain = "".join(chr(0x4E00 + i * 37 % 5000) for i in range(400))
+    texts = [plain, plain + "é" * 61, "a" + plain, "x" * 48, "the\u00a0two\u3000words，here", None]
+    words = toxicity.Words(pa.array(texts))
+    lengths = np.diff(words.chars)[words.number]
+    sizes = [lengths[a:b].tolist() for a, b in zip(words.starts, words.starts[1:], strict=False)]
+    assert [sum(s) for s in sizes] == [1200, 1322, 1201, 48, 15, 0] and max(lengths) <= toxicity.PIECE
+    assert sizes[3] == [48] and sizes[4] == [3, 3, 5, 4]
+    assert all(n % 3 == 0 for n in sizes[0])  # cut at borders of characters
+    alone = toxicity.Words(pa.array([texts[1]]))
+    assert np.array_equal(np.diff(alone.chars)[alone.number], sizes[1])
+
+
+def test_toxicity_learns_behind_the_start_of_a_run():
+    rng = np.random.default_rng(1)
+    texts = ["".join(chr(0x4E00 + i) for i in rng.integers(0, 300, 120)) for _ in range(240)]
+    labels = np.arange(240) % 2
+    texts = [t[:80] + "\u9999\u9998\u9997" * 3 + t[80:] if y else t for t, y in zip(texts, labels, strict=True)]
+    network = toxicity.train(texts[:160], labels[:160], epochs=40)
+    words = toxicity.Words(pa.array(texts[160:], pa.large_string()))
+    rows, owner = words.windows()
+    said = toxicity.highest(network.windows(words, rows), owner, 80)[0] > 0
+    assert np.mean(said == (labels[160:] == 1)) > 0.9
+
+
 def test_empty_tables(docs):
     empty = docs.limit(0)
     assert ngram_join.groups(empty).count() == 0 and substrings.deduplicated(empty).count() == 0
