@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructType
 
 from ..session import shared_folder, ship_package
 
@@ -19,6 +20,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # The most that a batch handed to Python holds, beyond its last row: texts differ in length by thousands.
 BATCH_BYTES = 4 << 20
+# Of a text that is too long to learn from whole, at most so many parts are candidates.
+WINDOWS = 16
 
 
 def prepare(spark: SparkSession) -> None:
@@ -63,8 +66,6 @@ def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
 
 def part_offsets(totals: DataFrame, part: str, n: str) -> DataFrame:
     """``__before``: the sum of all earlier parts. One row for each partition, so the window is small."""
-    from pyspark.sql import Window
-
     earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(part, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias("__before"))
 
@@ -88,6 +89,40 @@ def sampled(labelled: DataFrame, label: str, rates: dict, seed: int) -> DataFram
     return labelled.filter(chance(F.col("doc_id"), seed) < rate)
 
 
+def labelled_sample(
+    rows: DataFrame, longest: int, share: Callable[[int], int], seed: int, usable: Column | None = None
+) -> DataFrame:
+    """At most ``share(number of labels)`` distinct rows (doc_id, text, label) of every label, the same in every run.
+
+    They are drawn by a hash of id and text among the texts of at most ``longest`` characters. A label without
+    such texts gives windows of that length, which lie evenly over the whole of its texts. ``usable`` says of
+    a text or window whether it can be learned from.
+    """
+    usable = F.lit(True) if usable is None else usable
+    rows = rows.select("doc_id", "text", "label").filter("doc_id is not null and text is not null and label is not null")
+    rows = rows.filter(usable).withColumn("__hash", F.xxhash64(F.lit(seed), "doc_id", "text"))
+    size, short = F.length("text"), F.length("text") <= longest
+    counts = rows.groupBy("label").agg(
+        F.approx_count_distinct("__hash"), F.approx_count_distinct(F.when(short, F.col("__hash")))
+    )
+    found = counts.collect()
+    if not found:
+        return rows.select("doc_id", "text", "label").limit(0)
+    most = share(len(found))
+    # Some more than asked for, as the counts are estimates; the ranks below keep the bound.
+    rates = [(label, n > 0, min(1.0, (1.25 * most + 20) / max(n or everything, 1))) for label, everything, n in found]
+    table = StructType([rows.schema["label"]]).add("__short", BooleanType()).add("__rate", DoubleType())
+    drawn = rows.join(F.broadcast(rows.sparkSession.createDataFrame(rates, table)), "label")
+    drawn = drawn.filter(short | ~F.col("__short"))
+    drawn = drawn.filter(F.pmod("__hash", F.lit(1 << 30)) / float(1 << 30) < F.col("__rate")).dropDuplicates(["label", "__hash"])
+    count = F.least(F.lit(WINDOWS), F.ceil(size / longest)).cast("int")
+    begin = F.when(count < 2, F.lit(0)).otherwise(F.floor(F.col("__nth") * (size - longest) / (count - 1)))
+    cut = drawn.withColumn("__nth", F.explode(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1)))
+    cut = cut.withColumn("text", F.substring("text", (begin + 1).cast("int"), F.lit(longest))).filter(usable)
+    order = Window.partitionBy("label").orderBy(F.xxhash64("__hash", "__nth"), "__hash", "__nth")
+    return cut.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= most).select("doc_id", "text", "label")
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1_500_000):
     """Runs of rows with about ``most`` bytes of text: bounded working memory whatever the batch size.
 

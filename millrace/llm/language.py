@@ -4,9 +4,11 @@ The language family is predicted first, by one linear machine per family; then
 one-versus-one linear support vector machines vote among the languages of that
 family. All machines share one hashed vector of character n-grams of the letters
 in the text, lower-cased, whose length is 1, and are trained by averaged
-stochastic gradient steps on the hinge loss in numpy, on a bounded sample: at most
-``PER_LANGUAGE`` rows for each of the ``LANGUAGES`` commonest languages, of at
-most ``MAX_CHARS`` characters each.
+stochastic gradient steps on the hinge loss in numpy, on a bounded sample of every language
+that occurs: at most ``PER_LANGUAGE`` rows of each, of at most ``MAX_CHARS``
+characters (windows of longer texts where a language has no others). Beyond
+``LANGUAGES`` languages, they share ``LANGUAGES * PER_LANGUAGE`` rows evenly, with
+``LEAST_ROWS`` for each at least. The model grows with the number of languages.
 
 Every whole text is read. Defined results: a NULL text or one without a letter is
 ``und`` with score 0. A single learned language is always predicted; without any,
@@ -26,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, pieces, prepare, sample_rates, sampled, segment_sums
+from .common import held_out, labelled_sample, pieces, prepare, segment_sums
 from .features import LETTERS, framed, grams
 
 BITS = 16
 SIZES = (2, 3, 4)
 PER_LANGUAGE = 1500
-LANGUAGES = 64
+LANGUAGES = 64  # with more of them, each has fewer rows
+LEAST_ROWS = 20
 MAX_CHARS = 6_000
 EPOCHS = 6
 SEED = 13
@@ -176,13 +179,15 @@ def _share(margins: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, parts: int = 4, rest: int = 2, per_language: int = PER_LANGUAGE) -> Model:
-    known = docs.select("doc_id", "lang").filter("doc_id is not null and lang is not null")
+    known = docs.select("doc_id", "text", F.col("lang").alias("label"))
     known = known.filter(~held_out(F.col("doc_id"), parts, rest))
-    rates = sample_rates(known, "lang", per_language, LANGUAGES)
-    rows = docs.select("doc_id", "lang", "text").filter("doc_id is not null and lang is not null")
-    rows = rows.filter(~held_out(F.col("doc_id"), parts, rest))
-    rows = sampled(rows, "lang", rates, SEED).filter(F.length("text") <= MAX_CHARS)
-    sample = rows.toArrow().to_pandas().sort_values(["doc_id", "lang", "text"])
+    total = LANGUAGES * per_language
+
+    def share(languages: int) -> int:
+        return max(LEAST_ROWS, min(per_language, total // languages))
+
+    rows = labelled_sample(known, MAX_CHARS, share, SEED, F.col("text").rlike(r"\p{L}"))
+    sample = rows.withColumnRenamed("label", "lang").toArrow().to_pandas().sort_values(["doc_id", "lang", "text"])
     has_letter = sample["text"].map(lambda t: bool(_letter(t))).astype(bool)
     sample = sample[has_letter]
     return Model(sample["text"].tolist(), sample["lang"].tolist())

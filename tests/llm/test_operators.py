@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from millrace.llm import chat, fingerprints, language, mixing, ngram_join, packing, quality, substrings, toxicity
+from millrace.llm.common import labelled_sample
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, component_id string"
 WORDS = [f"w{i}x" for i in range(400)]
@@ -146,6 +147,35 @@ def test_toxicity_learns_behind_the_start_of_a_run():
     assert np.mean(said == (labels[160:] == 1)) > 0.9
 
 
+def test_every_language_is_learned(spark):
+    names = [f"x{i:02}" for i in range(66)]
+    rng = np.random.default_rng(3)
+    rows = []
+    for k, name in enumerate(names):
+        own = [chr(0x4E00 + 40 * k + i) for i in range(40)]
+        rows += [(100 * k + i, "".join(rng.choice(own, 40)), name) for i in range(8)]
+    long = "".join(rng.choice([chr(0x0430 + i) for i in range(32)], language.MAX_CHARS + 500))
+    rows += [(9000 + i, "12 " * 3000 + long + str(i), "zz") for i in range(8)]
+    rows += [(9100, "5 6 7", "zy")]  # no letter, so nothing to learn from
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit(docs)
+    assert sorted(model.families) == [*names, "zz"]
+    said, _ = model.answers(pa.array([t for _, t, _ in rows[:-1]], pa.large_string()))
+    assert np.mean([a == b for a, (_, _, b) in zip(said, rows, strict=False)]) > 0.95
+
+
+def test_labelled_sample_keeps_its_bound(spark):
+    rows = [(1, f"text {i}", "a") for i in range(600)] + [(2, "same", "b")] * 500 + [(i, f"b {i}", "b") for i in range(3, 6)]
+    rows += [(10, "x" * 95 + "y" * 10, "c"), (11, None, "c")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, label string")
+    for seed in range(3):
+        got = labelled_sample(df, 20, lambda n: 50 if n == 3 else 0, seed).collect()
+        own = {x: sorted(r.text for r in got if r.label == x) for x in "abc"}
+        assert len(own["a"]) == len(set(own["a"])) == 50 and own["b"] == ["b 3", "b 4", "b 5", "same"]
+        assert own["c"] == [*["x" * 20] * 5, "x" * 10 + "y" * 10]  # windows over the whole of the only text
+    assert labelled_sample(df.limit(0), 20, lambda n: 5, 1).count() == 0
+
+
 def test_empty_tables(docs):
     empty = docs.limit(0)
     assert ngram_join.groups(empty).count() == 0 and substrings.deduplicated(empty).count() == 0
