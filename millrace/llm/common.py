@@ -75,39 +75,35 @@ def chance(doc_id: Column, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), doc_id), F.lit(1 << 30)) / float(1 << 30)
 
 
-def sample_rates(labelled: DataFrame, label: str, per_label: int, max_labels: int) -> dict:
-    """The share of each label's rows to take for ``per_label`` rows of each of the commonest labels."""
-    counts = labelled.groupBy(label).count().orderBy(F.desc("count"), label).limit(max_labels).collect()
-    return {r[0]: min(1.0, per_label / r["count"]) for r in counts}
-
-
-def sampled(labelled: DataFrame, label: str, rates: dict, seed: int) -> DataFrame:
-    """Rows drawn at the label's rate, the same in every run."""
-    if not rates:
-        return labelled.limit(0)
-    rate = F.create_map(*[F.lit(x) for pair in rates.items() for x in pair])[F.col(label)]
-    return labelled.filter(chance(F.col("doc_id"), seed) < rate)
-
-
 def labelled_sample(
-    rows: DataFrame, longest: int, share: Callable[[int], int], seed: int, usable: Column | None = None
+    rows: DataFrame,
+    longest: int,
+    share: Callable[[int], int],
+    seed: int,
+    usable: Column | None = None,
+    labels: DataFrame | None = None,
 ) -> DataFrame:
     """At most ``share(number of labels)`` distinct rows (doc_id, text, label) of every label, the same in every run.
 
     They are drawn by a hash of id and text among the texts of at most ``longest`` characters. A label without
     such texts gives windows of that length, which lie evenly over the whole of its texts. ``usable`` says of
-    a text or window whether it can be learned from.
+    a text or window whether it can be learned from. With ``labels`` (doc_id, label), the label of a row is
+    looked up there, and only ids, hashes and lengths are joined before the rows are drawn.
     """
     usable = F.lit(True) if usable is None else usable
-    rows = rows.select("doc_id", "text", "label").filter("doc_id is not null and text is not null and label is not null")
-    rows = rows.filter(usable).withColumn("__hash", F.xxhash64(F.lit(seed), "doc_id", "text"))
+    texts = rows.filter("doc_id is not null and text is not null").filter(usable)
+    texts = texts.withColumn("__hash", F.xxhash64(F.lit(seed), "doc_id", "text"))
     size, short = F.length("text"), F.length("text") <= longest
+    if labels is None:
+        rows = texts.select("doc_id", "text", "label", "__hash").filter("label is not null")
+    else:
+        rows, short = texts.select("doc_id", "__hash", short.alias("__fits")).join(labels, "doc_id"), F.col("__fits")
     counts = rows.groupBy("label").agg(
         F.approx_count_distinct("__hash"), F.approx_count_distinct(F.when(short, F.col("__hash")))
     )
     found = counts.collect()
     if not found:
-        return rows.select("doc_id", "text", "label").limit(0)
+        return texts.select("doc_id", "text", F.lit(None).cast(rows.schema["label"].dataType).alias("label")).limit(0)
     most = share(len(found))
     # Some more than asked for, as the counts are estimates; the ranks below keep the bound.
     rates = [(label, n > 0, min(1.0, (1.25 * most + 20) / max(n or everything, 1))) for label, everything, n in found]
@@ -115,6 +111,10 @@ def labelled_sample(
     drawn = rows.join(F.broadcast(rows.sparkSession.createDataFrame(rates, table)), "label")
     drawn = drawn.filter(short | ~F.col("__short"))
     drawn = drawn.filter(F.pmod("__hash", F.lit(1 << 30)) / float(1 << 30) < F.col("__rate")).dropDuplicates(["label", "__hash"])
+    if labels is not None:
+        # Some 1.25 * most of each label, so small at any scale.
+        drawn = F.broadcast(drawn.select("doc_id", "__hash", "label"))
+        drawn = texts.select("doc_id", "text", "__hash").join(drawn, ["doc_id", "__hash"]).dropDuplicates(["label", "__hash"])
     count = F.least(F.lit(WINDOWS), F.ceil(size / longest)).cast("int")
     begin = F.when(count < 2, F.lit(0)).otherwise(F.floor(F.col("__nth") * (size - longest) / (count - 1)))
     cut = drawn.withColumn("__nth", F.explode(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1)))

@@ -5,7 +5,7 @@ neighbouring words and the character n-grams within and at the edges of its word
 ``2^BITS`` rows; two outputs and softmax give the score. Vectors and outputs are
 trained together by stochastic gradient descent in numpy, on a bounded sample of
 the labelled rows: at most ``PER_LABEL`` of each label, with texts of at most
-``MAX_CHARS`` characters. Since the output is linear in the mean, scoring needs
+``MAX_CHARS`` characters, or windows of longer ones if a label has no others. Since the output is linear in the mean, scoring needs
 one number for each row of the table.
 
 Every whole text is scored; only the text is looked at. Defined results: a NULL or
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, mix64, pieces, prepare, sample_rates, sampled, segment_sums
+from .common import held_out, mix64, labelled_sample, pieces, prepare, segment_sums
 from .features import SPACE, framed, grams, word_hashes
 
 BITS = 18
@@ -99,10 +99,9 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 4, rest: int = 2, per_l
     """Learns from labelled rows outside the fold, from a bounded sample of them."""
     known = labels.select("doc_id", F.col("quality").cast("int").alias("label"))
     known = known.filter("doc_id is not null and label in (0, 1)").filter(~held_out(F.col("doc_id"), parts, rest))
-    chosen = sampled(known, "label", sample_rates(known, "label", per_label, 2), SEED).dropDuplicates(["doc_id"])
-    # At most about per_label rows of each label, so small at any scale.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter(F.length("text") <= MAX_CHARS)
-    sample = rows.select("doc_id", "text", "label").toArrow().to_pandas().sort_values(["doc_id", "text"])
+    known = known.dropDuplicates(["doc_id"])
+    rows = labelled_sample(docs.select("doc_id", "text"), MAX_CHARS, lambda _: per_label, SEED, labels=known)
+    sample = rows.toArrow().to_pandas().sort_values(["doc_id", "text"])
     y = sample["label"].to_numpy(np.int64)
     if len(set(y)) < 2:
         return np.zeros(1 << BITS, np.float32), 0.0

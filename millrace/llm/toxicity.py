@@ -9,7 +9,7 @@ text are scored.
 
 Training is in numpy (back-propagation through time, Adam) on a bounded sample of
 the labelled rows: at most ``PER_LABEL`` of each label, with texts of at most
-``MAX_CHARS`` characters. Labels are for documents, so each epoch learns, for
+``MAX_CHARS`` characters, or windows of longer ones if a label has no others. Labels are for documents, so each epoch learns, for
 every sampled document, from its window that scores highest so far (at first: by
 log odds of words) and from another one of those without the label.
 
@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, pieces, prepare, sample_rates, sampled
+from .common import held_out, labelled_sample, pieces, prepare
 from .features import framed, grams, word_hashes
 
 WINDOW, STRIDE = 40, 32
@@ -287,10 +287,9 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 3, rest: int = 1, per_l
     """Learns from labelled rows outside the fold; None without both labels."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("label"))
     known = known.filter("doc_id is not null and label in (0, 1)").filter(~held_out(F.col("doc_id"), parts, rest))
-    chosen = sampled(known, "label", sample_rates(known, "label", per_label, 2), SEED).dropDuplicates(["doc_id"])
-    # At most about per_label rows of each label, so small at any scale.
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter(F.length("text") <= MAX_CHARS)
-    sample = found.select("doc_id", "text", "label").toArrow().to_pandas().sort_values(["doc_id", "text"])
+    known = known.dropDuplicates(["doc_id"])
+    rows = labelled_sample(docs.select("doc_id", "text"), MAX_CHARS, lambda _: per_label, SEED, labels=known)
+    sample = rows.toArrow().to_pandas().sort_values(["doc_id", "text"])
     y = sample["label"].to_numpy(np.int64)
     return train(sample["text"].tolist(), y) if len(set(y)) == 2 else None
 

@@ -176,6 +176,13 @@ def test_labelled_sample_keeps_its_bound(spark):
     assert labelled_sample(df.limit(0), 20, lambda n: 5, 1).count() == 0
 
 
+def test_labels_of_long_texts_are_learned(spark):
+    rows = [(i, "good calm words " * 5 if i % 2 else "filler " * 1800 + "nasty vile " * 60) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(40)] * 2, "doc_id bigint, quality int, toxic int")
+    assert toxicity.fit(docs, labels) is not None and quality.fit(docs, labels)[0].any()
+
+
 def test_empty_tables(docs):
     empty = docs.limit(0)
     assert ngram_join.groups(empty).count() == 0 and substrings.deduplicated(empty).count() == 0
