@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import chat, fingerprints, language, mixing, neighbours, ngram_join, packing, quality, substrings, toxicity
+from . import byte_bpe, chat, fingerprints, language, mixing, neighbours, ngram_join, packing, quality, substrings, toxicity
 from .common import documents
 
 
@@ -55,6 +55,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(configure(spark), sf_dir))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(documents(configure(spark), sf_dir))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_neighbours": op2_neighbours,
@@ -66,5 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_chat": op9_chat,
     "op10_fingerprints": op10_fingerprints,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 SQL = {"op8_mixing": mixing.SQL, "op9_chat": chat.SQL}
