@@ -69,14 +69,16 @@ def by_frequency(codes: np.ndarray, distinct: int) -> tuple[np.ndarray, np.ndarr
 
 
 def squeezed(numbers: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers, compressed by byte planes: small ones leave the upper planes empty."""
-    planes = np.ascontiguousarray(numbers.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T)
-    return pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+    """Unsigned 32-bit numbers, compressed by byte planes (small ones leave the upper planes empty) if that is shorter."""
+    numbers = numbers.astype("<u4", copy=False)
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T)
+    packed = pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+    return packed if len(packed) < 4 * len(numbers) else numbers.tobytes()
 
 
 def unsqueezed(data: bytes, n: int) -> np.ndarray:
-    if not n:
-        return np.zeros(0, np.uint32)
+    if len(data) == 4 * n:
+        return np.frombuffer(data, "<u4")
     planes = np.frombuffer(pa.Codec("zstd").decompress(data, decompressed_size=4 * n, asbytes=True), np.uint8)
     return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").reshape(n)
 

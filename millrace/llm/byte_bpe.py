@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -32,10 +33,12 @@ from .packing import OTHER, PATTERN
 
 LAYOUT = "block bigint, distinct_words int, doc_ids array<bigint>, counts array<int>, codes binary"
 WORDS = "block bigint, no int, word string"
-ENCODED = "block bigint, no int, ids binary"
+ENCODED = "block bigint, n int, size int, numbers binary"
 DOCUMENTS = "doc_id bigint, n_tokens bigint, ids binary"
 # Rows of a batch that leaves a task: words of a block are written in such slices.
 SLICE = 50_000
+# Encoded words that a task holds before it hands them out, gathered by block.
+HELD = 1_000_000
 
 
 def default_ranks() -> str:
@@ -124,37 +127,68 @@ def _words(pattern: str):
 def _encode(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by word: equal words are neighbours, the first of them is encoded."""
-        merge, last, ids = _merger(path), None, b""
+        merge, last, ids = _merger(path), None, []
+        blocks, numbers, counts, flat = [], [], array("I"), array("I")
         for batch in batches:
-            out = []
             for word in batch.column("word").to_pylist():
                 if word != last:
-                    last, ids = word, np.array(merge(word), "<u4").tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("no"), pa.array(out, pa.binary())], names=["block", "no", "ids"]
-            )
+                    last, ids = word, merge(word)
+                counts.append(len(ids))
+                flat.extend(ids)
+            blocks.append(np.asarray(batch.column("block")))
+            numbers.append(np.asarray(batch.column("no")))
+            if len(counts) >= HELD:
+                yield _by_block(blocks, numbers, counts, flat)
+                blocks, numbers, counts, flat = [], [], array("I"), array("I")
+        if counts:
+            yield _by_block(blocks, numbers, counts, flat)
 
     return encode
 
 
+def _by_block(blocks: list[np.ndarray], numbers: list[np.ndarray], counts: array, flat: array) -> pa.RecordBatch:
+    """One row for each block: numbers of its words (as differences), how many ids each has, and the ids."""
+    block, number, count = np.concatenate(blocks), np.concatenate(numbers), np.frombuffer(counts, np.uint32)
+    order = np.lexsort((number, block))
+    starts = np.cumsum(count, dtype=np.int64) - count
+    ids, places = ragged(np.frombuffer(flat, np.uint32), starts, count.astype(np.int64), order)
+    block, number, count = block[order], number[order], count[order]
+    edges = np.flatnonzero(np.diff(block, prepend=block[0] - 1, append=block[-1] + 1))
+    rows: list[list] = [[], [], [], []]
+    for a, b in zip(edges, edges[1:], strict=False):
+        steps = np.diff(number[a:b], prepend=0).astype(np.uint32)
+        every = np.concatenate([steps, count[a:b], ids[places[a] : places[b]]])
+        for column, value in zip(rows, (block[a], b - a, len(every), squeezed(every)), strict=True):
+            column.append(value)
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=["block", "n", "size", "numbers"]
+    )
+
+
+def _dictionary(chunks: list[dict], distinct: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all words of a block, and where each word's begin and how many they are, by number of the word."""
+    starts, lengths = np.zeros(distinct, np.int64), np.full(distinct, -1, np.int64)
+    flat, at = [], 0
+    for chunk in chunks:
+        n, every = chunk["n"], unsqueezed(chunk["numbers"], chunk["size"])
+        number, count = np.cumsum(every[:n], dtype=np.int64), every[n : 2 * n].astype(np.int64)
+        starts[number], lengths[number] = at + np.cumsum(count) - count, count
+        flat.append(every[2 * n :])
+        at += len(flat[-1])
+    if (lengths < 0).any():
+        raise RuntimeError("the table was not read alike twice: words of a block are missing")
+    return np.concatenate([np.zeros(0, np.uint32), *flat]), starts, lengths
+
+
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A block and the ids of its words, to the ids of its documents."""
     for batch in batches:
         for i in range(batch.num_rows):
             block = {name: batch.column(name)[i] for name in batch.schema.names}
-            distinct, words = block["distinct_words"].as_py(), block["words"].values
-            if (len(words) if words is not None else 0) != distinct:
-                raise RuntimeError("the table was not read alike twice: a block's words are missing")
             counts = np.asarray(block["counts"].values)
             codes = unsqueezed(block["codes"].as_py(), int(counts.sum()))
-            if distinct:
-                data, starts = _binary(words.field("ids"))
-                lengths = np.diff(starts)
-                order = np.argsort(np.asarray(words.field("no")))
-                ids, places = ragged(data.view("<u4"), starts[:-1][order] // 4, lengths[order] // 4, codes)
-            else:
-                ids, places = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+            ids, places = ragged(*_dictionary(block["chunks"].as_py() or [], block["distinct_words"].as_py()), codes)
             # From places of words to places of documents.
             edges = places[np.concatenate([[0], np.cumsum(counts)])]
             for at in range(0, len(counts), SLICE):
@@ -193,7 +227,9 @@ def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None
     words = texts.mapInArrow(_words(pattern), WORDS)
     gathered = words.repartition(F.col("word")).sortWithinPartitions("word")
     coded = gathered.mapInArrow(_encode(ranks), ENCODED)
-    dictionaries = coded.groupBy("block").agg(F.collect_list(F.struct("no", "ids")).alias("words"))
+    dictionaries = coded.groupBy("block").agg(
+        F.collect_list(F.struct("n", "size", "numbers")).alias("chunks")
+    )
     # One row on either side for each block.
     placed = texts.mapInArrow(_layout(pattern), LAYOUT).join(dictionaries, "block", "left")
     return placed.mapInArrow(_assemble, DOCUMENTS)
