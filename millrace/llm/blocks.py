@@ -8,7 +8,7 @@ occurs in the block) and only its distinct keys are shuffled.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,8 @@ from pyspark import TaskContext
 
 # A block is closed when its texts have this many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 16 << 20
+# Answers for keys that a task holds before it hands them out, gathered by block.
+HELD = 500_000
 
 
 def document_blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.Array, list[str]]]:
@@ -90,3 +92,49 @@ def ragged(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, codes: np.
     at = np.repeat(starts[codes] - places[:-1], n)
     at += np.arange(places[-1])
     return data[at], places
+
+
+def coded(texts: list[str], split: Callable[[str], list[str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct words of a block, most frequent first, number of words of each text, and the code of each word."""
+    number, found, counts = {}, [], np.zeros(len(texts), np.int32)
+    for i, text in enumerate(texts):
+        words = split(text)
+        counts[i] = len(words)
+        found.append(np.array([number.setdefault(w, len(number)) for w in words], np.uint32))
+    codes, order = by_frequency(np.concatenate(found), len(number))
+    words = list(number)
+    return [words[i] for i in order], counts, codes
+
+
+def by_block(block: np.ndarray, number: np.ndarray, count: np.ndarray, flat: np.ndarray) -> pa.RecordBatch:
+    """Answers gathered by block: a row has the numbers of some keys (as differences), how many values each has, the values."""
+    order = np.lexsort((number, block))
+    starts = np.cumsum(count, dtype=np.int64) - count
+    values, places = ragged(flat, starts, count.astype(np.int64), order)
+    block, number, count = block[order], number[order], count[order]
+    edges = np.flatnonzero(np.diff(block, prepend=block[0] - 1, append=block[-1] + 1))
+    rows: list[list] = [[], [], [], []]
+    for a, b in zip(edges, edges[1:], strict=False):
+        steps = np.diff(number[a:b], prepend=0).astype(np.uint32)
+        every = np.concatenate([steps, count[a:b], values[places[a] : places[b]]])
+        for column, value in zip(rows, (block[a], b - a, len(every), squeezed(every)), strict=True):
+            column.append(value)
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=["block", "n", "size", "numbers"]
+    )
+
+
+def dictionary(chunks: list[dict], distinct: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The values of all keys of a block, and where each key's begin and how many they are, by number of the key."""
+    starts, lengths = np.zeros(distinct, np.int64), np.full(distinct, -1, np.int64)
+    flat, at = [], 0
+    for chunk in chunks:
+        n, every = chunk["n"], unsqueezed(chunk["numbers"], chunk["size"])
+        number, count = np.cumsum(every[:n], dtype=np.int64), every[n : 2 * n].astype(np.int64)
+        starts[number], lengths[number] = at + np.cumsum(count) - count, count
+        flat.append(every[2 * n :])
+        at += len(flat[-1])
+    if (lengths < 0).any():
+        raise RuntimeError("keys of a block are missing: its table was not read alike twice")
+    return np.concatenate([np.zeros(0, np.uint32), *flat]), starts, lengths

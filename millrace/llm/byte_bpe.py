@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import by_frequency, document_blocks, ragged, squeezed, unsqueezed
+from .blocks import HELD, by_block, coded, dictionary, document_blocks, ragged, squeezed, unsqueezed
 from .common import pieces, prepare
 from .packing import OTHER, PATTERN
 
@@ -37,8 +37,6 @@ ENCODED = "block bigint, n int, size int, numbers binary"
 DOCUMENTS = "doc_id bigint, n_tokens bigint, ids binary"
 # Rows of a batch that leaves a task: words of a block are written in such slices.
 SLICE = 50_000
-# Encoded words that a task holds before it hands them out, gathered by block.
-HELD = 1_000_000
 
 
 def default_ranks() -> str:
@@ -60,6 +58,28 @@ def token_bytes(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+# Characters of each class, where this library's tables and the pattern library's may be of different age.
+STAND_INS = {r"\p{L}": "z", r"\p{N}": "0", r"\s": "\u2003"}
+NONE_OF_THEM = "\ue000"
+
+
+@cache
+def _reclassed() -> dict[int, str]:
+    """Characters that the library of the rank files puts into another class than ``regex``: what to read them as."""
+    import regex
+    import tiktoken
+
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    single = {bytes([b]): b for b in range(256)}
+    changed: dict[int, str] = {}
+    for kind, stand_in in STAND_INS.items():
+        found = tiktoken.Encoding("class", pat_str=f"{kind}+", mergeable_ranks=single, special_tokens={}).encode_ordinary(every)
+        theirs, ours = set(bytes(found).decode()), set(regex.findall(kind, every))
+        changed |= {ord(c): changed.get(ord(c), NONE_OF_THEM) for c in ours - theirs}
+        changed |= {ord(c): stand_in for c in theirs - ours}
+    return changed
+
+
 @cache
 def _splitter(pattern: str):
     """Pre-tokens of a text. Texts of Latin letters are cut by the plain form of the family's pattern, which is quicker."""
@@ -67,10 +87,20 @@ def _splitter(pattern: str):
     import regex
 
     whole = regex.compile(pattern).findall
+
+    def any_text(text: str) -> list[str]:
+        changed = _reclassed()
+        read = text.translate(changed) if changed else text
+        words = whole(read)
+        if read == text:
+            return words
+        ends = np.cumsum([len(w) for w in words]).tolist()
+        return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
     if pattern != public_tokenizers.PATTERN:
-        return whole
+        return any_text
     plain, other = re.compile(PATTERN).findall, re.compile(OTHER).search
-    return lambda text: whole(text) if other(text) else plain(text)
+    return lambda text: any_text(text) if other(text) else plain(text)
 
 
 @cache
@@ -82,23 +112,10 @@ def _merger(path: str):
     return merge.encode_ordinary
 
 
-def _coded(texts: list[str], pattern: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct words of a block, most frequent first, number of words of each text, and the code of each word."""
-    split, number = _splitter(pattern), {}
-    found, counts = [], np.zeros(len(texts), np.int32)
-    for i, text in enumerate(texts):
-        words = split(text)
-        counts[i] = len(words)
-        found.append(np.array([number.setdefault(w, len(number)) for w in words], np.uint32))
-    codes, order = by_frequency(np.concatenate(found), len(number))
-    words = list(number)
-    return [words[i] for i in order], counts, codes
-
-
 def _layout(pattern: str):
     def layout(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, ids, texts in document_blocks(batches):
-            words, counts, codes = _coded(texts, pattern)
+            words, counts, codes = coded(texts, _splitter(pattern))
             row = [[key], [len(words)], [ids.to_pylist()], [counts.tolist()], [squeezed(codes)]]
             kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -112,7 +129,7 @@ def _layout(pattern: str):
 def _words(pattern: str):
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, _, texts in document_blocks(batches):
-            words = _coded(texts, pattern)[0]
+            words = coded(texts, _splitter(pattern))[0]
             for at in range(0, len(words), SLICE):
                 some = words[at : at + SLICE]
                 number = np.arange(at, at + len(some), dtype=np.int32)
@@ -129,6 +146,11 @@ def _encode(path: str):
         """Rows sorted by word: equal words are neighbours, the first of them is encoded."""
         merge, last, ids = _merger(path), None, []
         blocks, numbers, counts, flat = [], [], array("I"), array("I")
+
+        def out():
+            sizes, values = (np.frombuffer(x, np.uint32) for x in (counts, flat))
+            return by_block(np.concatenate(blocks), np.concatenate(numbers), sizes, values)
+
         for batch in batches:
             for word in batch.column("word").to_pylist():
                 if word != last:
@@ -138,49 +160,14 @@ def _encode(path: str):
             blocks.append(np.asarray(batch.column("block")))
             numbers.append(np.asarray(batch.column("no")))
             if len(counts) >= HELD:
-                yield _by_block(blocks, numbers, counts, flat)
+                yield out()
                 blocks, numbers, counts, flat = [], [], array("I"), array("I")
         if counts:
-            yield _by_block(blocks, numbers, counts, flat)
+            yield out()
 
     return encode
 
 
-def _by_block(blocks: list[np.ndarray], numbers: list[np.ndarray], counts: array, flat: array) -> pa.RecordBatch:
-    """One row for each block: numbers of its words (as differences), how many ids each has, and the ids."""
-    block, number, count = np.concatenate(blocks), np.concatenate(numbers), np.frombuffer(counts, np.uint32)
-    order = np.lexsort((number, block))
-    starts = np.cumsum(count, dtype=np.int64) - count
-    ids, places = ragged(np.frombuffer(flat, np.uint32), starts, count.astype(np.int64), order)
-    block, number, count = block[order], number[order], count[order]
-    edges = np.flatnonzero(np.diff(block, prepend=block[0] - 1, append=block[-1] + 1))
-    rows: list[list] = [[], [], [], []]
-    for a, b in zip(edges, edges[1:], strict=False):
-        steps = np.diff(number[a:b], prepend=0).astype(np.uint32)
-        every = np.concatenate([steps, count[a:b], ids[places[a] : places[b]]])
-        for column, value in zip(rows, (block[a], b - a, len(every), squeezed(every)), strict=True):
-            column.append(value)
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=["block", "n", "size", "numbers"]
-    )
-
-
-def _dictionary(chunks: list[dict], distinct: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids of all words of a block, and where each word's begin and how many they are, by number of the word."""
-    starts, lengths = np.zeros(distinct, np.int64), np.full(distinct, -1, np.int64)
-    flat, at = [], 0
-    for chunk in chunks:
-        n, every = chunk["n"], unsqueezed(chunk["numbers"], chunk["size"])
-        number, count = np.cumsum(every[:n], dtype=np.int64), every[n : 2 * n].astype(np.int64)
-        starts[number], lengths[number] = at + np.cumsum(count) - count, count
-        flat.append(every[2 * n :])
-        at += len(flat[-1])
-    if (lengths < 0).any():
-        raise RuntimeError("the table was not read alike twice: words of a block are missing")
-    return np.concatenate([np.zeros(0, np.uint32), *flat]), starts, lengths
-
-
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A block and the ids of its words, to the ids of its documents."""
     for batch in batches:
@@ -188,7 +175,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = {name: batch.column(name)[i] for name in batch.schema.names}
             counts = np.asarray(block["counts"].values)
             codes = unsqueezed(block["codes"].as_py(), int(counts.sum()))
-            ids, places = ragged(*_dictionary(block["chunks"].as_py() or [], block["distinct_words"].as_py()), codes)
+            ids, places = ragged(*dictionary(block["chunks"].as_py() or [], block["distinct_words"].as_py()), codes)
             # From places of words to places of documents.
             edges = places[np.concatenate([[0], np.cumsum(counts)])]
             for at in range(0, len(counts), SLICE):

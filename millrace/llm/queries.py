@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import configure
-from . import byte_bpe, chat, fingerprints, language, mixing, neighbours, ngram_join, packing, quality, substrings, toxicity
+from . import alignment, byte_bpe, chat, fingerprints, language, mixing, neighbours, ngram_join, packing, quality, repair, substrings, toxicity
 from .common import documents
 
 
@@ -55,6 +56,15 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(configure(spark), sf_dir))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(configure(spark), sf_dir), keep_groups=False).drop("groups")
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = repair.damaged(configure(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
+    return repair.digests(repair.repair(turns, F.col("present")))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(documents(configure(spark), sf_dir))))
 
@@ -70,6 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_chat": op9_chat,
     "op10_fingerprints": op10_fingerprints,
+    "op11_alignment": op11_alignment,
+    "op12_repair": op12_repair,
     "op13_byte_bpe": op13_byte_bpe,
 }
 SQL = {"op8_mixing": mixing.SQL, "op9_chat": chat.SQL}
