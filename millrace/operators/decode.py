@@ -12,10 +12,10 @@ from millrace import schemas as S
 from millrace.functions import pgtext
 from millrace.functions.once import once
 from millrace.operators.commits import stamp_commit_time
+from millrace.operators.outcome import OP
 from millrace.operators.relations import attach_relations, relation_spans, spans_are_small
 
 SOURCE = "postgres"
-OP = "CASE kind WHEN 'I' THEN 'create' WHEN 'U' THEN 'update' WHEN 'D' THEN 'delete' END"
 
 
 @dataclass(frozen=True)
@@ -23,7 +23,7 @@ class ChangeLog:
     """A raw log split by what its messages are for.
 
     ``changes`` holds inserts, updates, deletes and messages of unknown kind;
-    ``relations`` the layouts; ``commits`` the ends of transactions.
+    ``relations`` the layouts; ``commits`` and ``begins`` the ends and starts of transactions.
     ``small_relations`` states that the layouts were already found small.
     """
 
@@ -31,6 +31,7 @@ class ChangeLog:
     relations: DataFrame
     commits: DataFrame
     small_relations: bool | None = None
+    begins: DataFrame | None = None
 
     @classmethod
     def of(cls, raw: DataFrame) -> ChangeLog:
@@ -42,13 +43,14 @@ class ChangeLog:
                 "seq", "relation_id", "ns", "rel", "cols"
             ),
             commits=raw.filter(F.col("kind") == S.COMMIT).select("seq", "xid", "commit_ts"),
+            begins=raw.filter(F.col("kind") == S.BEGIN).select("seq", "xid"),
         )
 
     def starting_at(self, lsn: int | None) -> ChangeLog:
         """Only changes from a position on; an unset or zero position means all of them."""
         if not lsn:
             return self
-        return replace(self, changes=self.changes.filter(F.col("lsn") >= F.lit(lsn)))
+        return replace(self, changes=self.changes.filter(F.col("lsn").isNull() | (F.col("lsn") >= F.lit(lsn))))
 
     def with_relations(self) -> DataFrame:
         """Changes with ``table, rel, cols``."""

@@ -71,3 +71,76 @@ class OffsetLedger:
             return Offset()
         time = None if row.micros is None else EPOCH + timedelta(microseconds=row.micros)
         return Offset(row.lsn, time)
+
+
+@dataclass(frozen=True)
+class Run:
+    """One batch of a log: the rows after ``after`` (none: from the start) up to ``last``."""
+
+    batch_id: int
+    after: int | None
+    last: int
+
+
+class RunLedger:
+    """Which parts of a log were planned as batches and which are done, for runs that go on where one stopped.
+
+    A batch is planned before anything is written and done after everything is. So a run that broke off
+    is taken up with the same rows under the same number, and its output replaces what it left. Only the
+    newest entries are kept.
+    """
+
+    KEPT = 10
+    SCHEMA = "after bigint, last bigint"
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark = spark
+        self.plans = store.BatchTable(spark, f"{path.rstrip('/')}/planned", self.SCHEMA)
+        self.done = store.BatchTable(spark, f"{path.rstrip('/')}/done", self.SCHEMA)
+
+    @staticmethod
+    def _read(table: store.BatchTable, batch_id: int) -> Run:
+        row = table.read(batch_id).first()
+        return Run(batch_id, row.after, row.last)
+
+    def newest(self) -> Run | None:
+        """The last batch that is done."""
+        numbers = self.done.numbers()
+        return self._read(self.done, max(numbers)) if numbers else None
+
+    def unfinished(self) -> Run | None:
+        """The batch that was planned but is not done."""
+        numbers = self.plans.numbers()
+        if not numbers or self.done.has(max(numbers)):
+            return None
+        return self._read(self.plans, max(numbers))
+
+    def plan(self, log: DataFrame) -> Run | None:
+        """The next batch over a log: an unfinished one again, else all beyond the last one's rows."""
+        begun = self.unfinished()
+        if begun is not None:
+            return begun
+        before = self.newest()
+        rest = log if before is None else log.filter(F.col("seq") > before.last)
+        last = rest.agg(F.max("seq")).first()[0]
+        if last is None:
+            return None
+        run = Run(0 if before is None else before.batch_id + 1, before and before.last, last)
+        self._write(self.plans, run)
+        return run
+
+    def finish(self, run: Run) -> None:
+        self._write(self.done, run)
+        for table in (self.plans, self.done):
+            for number in sorted(table.numbers())[: -self.KEPT]:
+                table.drop(number)
+
+    def _write(self, table: store.BatchTable, run: Run) -> None:
+        row = self.spark.createDataFrame([(run.after, run.last)], self.SCHEMA)
+        table.write(row.coalesce(1), run.batch_id)
+
+
+def rows_of(log: DataFrame, run: Run) -> DataFrame:
+    """The rows of a batch; the range is compared with the column alone, so that it reaches the scan."""
+    kept = log.filter(F.col("seq") <= run.last)
+    return kept if run.after is None else kept.filter(F.col("seq") > run.after)

@@ -9,12 +9,18 @@ from millrace import schemas as S
 from millrace.functions.envelope import envelope, rfc3339
 from millrace.functions.once import once
 
+# The operation of a kind of message.
+OP = "CASE kind WHEN 'I' THEN 'create' WHEN 'U' THEN 'update' WHEN 'D' THEN 'delete' END"
+
 SUCCESS = "success"
 FILTERED = "filtered"
 TRANSFORM_ERROR = "transform_error"
 SINK_ERROR = "sink_error"
 DECODE_ERROR = "decode_error"
 LOST = "lost"
+# Rows that never became events: delivered before, or not usable as they were landed.
+REPEATED = "repeated"
+UNREADABLE = "unreadable"
 FAILED = (TRANSFORM_ERROR, SINK_ERROR)
 
 # Fixed value: what a JSON encoder says about a number it cannot write.
@@ -131,6 +137,25 @@ def ledger_rows(done: DataFrame, now: Column) -> DataFrame:
     )
 
 
+def left_out_rows(rows: DataFrame, status: str, error: Column, now: Column) -> DataFrame:
+    """Ledger rows for what was left out at the source: ``seq`` and, if they have them, ``lsn`` and ``kind``."""
+    has = rows.columns
+    values = {
+        "seq": F.col("seq"),
+        "lsn": F.col("lsn") if "lsn" in has else F.lit(None),
+        "table": F.lit(None),
+        "op": F.expr(OP) if "kind" in has else F.lit(None),
+        "status": F.lit(status),
+        "stage": F.lit("source"),
+        "error": error,
+        "attempts": F.lit(1),
+        "processed_at": now,
+    }
+    return rows.select(
+        *(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.LEDGER.fields)
+    )
+
+
 def high_water_mark(ledger: DataFrame) -> DataFrame:
     """Position of the last event that reached the sink; later successes cover earlier failures."""
     reached = ledger.filter((F.col("status") == SUCCESS) & F.col("lsn").isNotNull())

@@ -13,6 +13,7 @@ from millrace.functions import envelope as env
 from millrace.operators import metrics, outcome, routing
 from millrace.operators import transforms as T
 from millrace.operators.decode import (
+    ChangeLog,
     decode,
     decode_changes,
     errors_of,
@@ -23,6 +24,7 @@ from millrace.operators.decode import (
 from millrace.plans import derived_log as logs
 from millrace.session import configure, shared_folder
 from millrace.sinks.files import JsonLinesSink, TopicLogSink, with_segments
+from millrace.sources import landing
 from millrace.sources.landing import land_in_order, stream_log
 from millrace.sources.snapshots import snapshot_diff
 from millrace.spec import PipelineSpec, SinkSpec, SourceSpec, TransformSpec
@@ -616,3 +618,98 @@ def run_stream(spark, sf_dir):
     pipeline = build(spark, _run_spec(folder, path=f"{folder}/log"))
     pipeline.run_stream(stream_log(spark, f"{folder}/log", max_files=1)).awaitTermination()
     return _summary(pipeline.ledger.read_all())
+
+
+# -- recovery ----------------------------------------------------------------------
+
+
+def _in_three_runs(spark, sf_dir):
+    """The log landed in three parts, cut inside transactions, with a batch run after each."""
+    folder = _scratch(spark, "resume")
+    raw = logs.raw_log(logs.events_log(spark, sf_dir))
+    last = logs.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    cuts = [None, last // 3 * 10 + 5, last * 2 // 3 * 10 + 5, None]
+    pipeline = build(spark, _run_spec(folder, path=f"{folder}/log", resume=True))
+    for after, until in zip(cuts, cuts[1:]):
+        part = raw if after is None else raw.filter(F.col("seq") > after)
+        part = part if until is None else part.filter(F.col("seq") <= until)
+        part.write.mode("append").parquet(f"{folder}/log")
+        pipeline.run_batch()
+    return pipeline
+
+
+@query
+def resume_batch(spark, sf_dir):
+    """Three batch runs, each from where the one before stopped, say what one over the whole log says."""
+    return _summary(_in_three_runs(spark, sf_dir).ledger.read_all())
+
+
+@query
+def offset_ledger(spark, sf_dir):
+    """The position that each of these runs reached."""
+    reached = _in_three_runs(spark, sf_dir).offsets.table()
+    return reached.select("batch", "lsn", F.unix_micros("commit_time").alias("commit_us"))
+
+
+def _delivered_twice(spark, sf_dir, later: str = "INTERVAL '0' HOUR"):
+    """The log, and after it all of it again under new sequence numbers."""
+    raw = logs.raw_log(logs.events_log(spark, sf_dir))
+    last = logs.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    again = raw.withColumns(
+        {"seq": F.col("seq") + (last + 10_000) * 10, "commit_ts": F.col("commit_ts") + F.expr(later)}
+    )
+    return raw.unionByName(again)
+
+
+@query
+def replayed_stream(spark, sf_dir):
+    """A log delivered twice and streamed in micro-batches: every event once, the rest accounted for."""
+    folder = _scratch(spark, "replay")
+    land_in_order(_delivered_twice(spark, sf_dir), f"{folder}/log", min_files=4)
+    pipeline = build(spark, _run_spec(folder, path=f"{folder}/log", deliveries="first"))
+    pipeline.run_stream(stream_log(spark, f"{folder}/log", max_files=1)).awaitTermination()
+    return _summary(pipeline.ledger.read_all())
+
+
+@query
+def replayed_batch(spark, sf_dir):
+    """The same log in one batch."""
+    folder = _scratch(spark, "replay")
+    pipeline = build(spark, _run_spec(folder, deliveries="first"))
+    return _summary(pipeline.run_batch(_delivered_twice(spark, sf_dir)))
+
+
+@query
+def commit_time_redelivered(spark, sf_dir):
+    """Commit times where every transaction is delivered twice, the second time an hour later."""
+    log = ChangeLog.of(_delivered_twice(spark, sf_dir, "INTERVAL '1' HOUR"))
+
+    def stamped(mode):
+        times = decode(log, ts_mode=mode)
+        return times.select("seq", "xid", F.lit(mode).alias("mode"), F.unix_micros("ts").alias("ts_us"))
+
+    return stamped("transaction").unionByName(stamped("last_seen_commit"))
+
+
+@query
+def unreadable_input(spark, sf_dir):
+    """Landed lines that can't be used, or only in part, by reason; the usable ones with their positions."""
+    n, number = F.col("event_id") % 11, F.col("event_id").cast("string")
+
+    def line(seq, lsn, kind):
+        return F.concat(F.lit(f"{{{seq}"), number, F.lit(f',"lsn":"{lsn}'), number, F.lit(f'"{kind}}}'))
+
+    value = (
+        F.when(n == 0, F.lit("{broken"))
+        .when(n == 1, line('"xid":', "", ',"kind":"I"'))
+        .when(n == 2, line('"seq":', "", ""))
+        .when(n == 3, line('"seq":', "x", ',"kind":"U"'))
+        .when(n == 4, F.lit("  "))
+        .otherwise(line('"seq":', "", ',"kind":"D"'))
+    )
+    landed = landing.parsed_lines(logs.table(spark, sf_dir, "events").select(value.alias("value")))
+    bad = landing.rejects(landed).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("total")
+    )
+    good = landing.usable(landed).agg(F.count(F.lit(1)).alias("n"), F.sum("lsn").alias("total"))
+    return bad.unionByName(good.select(F.lit("usable").alias("reason"), "n", "total"))

@@ -500,7 +500,7 @@ oracle(
       WHERE tbl IS NOT NULL AND tbl NOT IN ('users', 'orders', 'products')
     """,
 )
-for _name in ("run_batch", "run_stream"):
+for _name in ("run_batch", "run_stream", "resume_batch"):
     oracle(
         _name,
         EVENTS_LOG,
@@ -512,3 +512,56 @@ for _name in ("run_batch", "run_stream"):
         FROM stamped GROUP BY ALL
         """,
     )
+
+oracle(
+    "offset_ledger",
+    EVENTS_LOG,
+    """
+    SELECT CAST(batch AS BIGINT) AS batch, arg_max(lsn, seq) AS lsn, arg_max(ts_us, seq) AS commit_us
+    FROM (SELECT s.*, CASE WHEN last * 10 + 6 <= top // 3 * 10 + 5 THEN 0 WHEN last * 10 + 6 <= top * 2 // 3 * 10 + 5 THEN 1
+        ELSE 2 END AS batch
+      FROM stamped s JOIN (SELECT event_id // 10 AS xid, max(event_id) AS last FROM events GROUP BY 1) USING (xid),
+        (SELECT max(event_id) AS top FROM events)
+      WHERE tbl IN ('users', 'orders', 'sales.orders'))
+    GROUP BY 1
+    """,
+)
+for _name in ("replayed_stream", "replayed_batch"):
+    oracle(
+        _name,
+        EVENTS_LOG,
+        """
+        SELECT tbl AS "table", op,
+          CASE WHEN tbl IS NULL THEN 'decode_error' WHEN tbl IN ('users', 'orders', 'sales.orders') THEN 'success'
+            ELSE 'filtered' END AS status,
+          count(*) AS n, min(ts_us) AS first_ts_us, max(ts_us) AS last_ts_us
+        FROM stamped GROUP BY ALL
+        UNION ALL SELECT NULL, op, 'repeated', count(*), NULL, NULL FROM log GROUP BY op
+        """,
+    )
+oracle(
+    "commit_time_redelivered",
+    EVENTS_LOG,
+    """
+    SELECT seq, xid, 'transaction' AS mode, ts_us FROM stamped
+    UNION ALL SELECT seq + (top + 10000) * 10, xid, 'transaction', ts_us + 3600000000
+      FROM stamped, (SELECT max(event_id) AS top FROM events)
+    UNION ALL SELECT l.seq + turn_no * (top + 10000) * 10, xid, 'last_seen_commit', epoch_us(prev_ts)
+      FROM log l JOIN (
+        SELECT xid, turn_no, lag(commit_ts + turn_no * INTERVAL 1 HOUR) OVER (ORDER BY turn_no, xid) AS prev_ts
+        FROM commits, (VALUES (0), (1)) t(turn_no)) p USING (xid), (SELECT max(event_id) AS top FROM events)
+    """,
+)
+oracle(
+    "unreadable_input",
+    "",
+    """
+    WITH lines AS (
+      SELECT event_id % 11 AS n, event_id, length('' || event_id) AS digits FROM events)
+    SELECT CASE n WHEN 0 THEN 'malformed' WHEN 1 THEN 'no seq' WHEN 2 THEN 'no kind' ELSE 'unreadable lsn' END AS reason,
+      count(*) AS n, CAST(sum(CASE n WHEN 0 THEN 7 WHEN 1 THEN 28 + 2 * digits WHEN 2 THEN 17 + 2 * digits
+        ELSE 29 + 2 * digits END) AS BIGINT) AS total
+    FROM lines WHERE n <= 3 GROUP BY 1
+    UNION ALL SELECT 'usable', count(*), CAST(sum(CASE WHEN n > 4 THEN event_id END) AS BIGINT) FROM lines WHERE n = 3 OR n > 4
+    """,
+)

@@ -19,32 +19,85 @@ TEXT_LOG = T.StructType(
 )
 
 
-def _shaped(raw: DataFrame) -> DataFrame:
-    lsn = F.col("lsn").try_cast("bigint").alias("lsn")
-    return raw.select(*(lsn if f.name == "lsn" else F.col(f.name) for f in S.RAW_LOG.fields))
+# What can be wrong with a row as it was landed. An unreadable position does not keep a row from being used.
+MALFORMED, NO_SEQ, NO_KIND, BAD_LSN = "malformed", "no seq", "no kind", "unreadable lsn"
+LEFT_OUT = (MALFORMED, NO_SEQ, NO_KIND)
+REJECTS = "seq bigint, reason string, text string"
+
+
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """The raw log from lines of JSON in ``value``, with ``problem`` and, where there is one, the line itself."""
+    broken = T.StructType([*TEXT_LOG.fields, T.StructField("_broken", T.StringType())])
+    text = F.col("value").cast("string")
+    read = lines.filter(F.trim(text) != "").select(
+        text.alias("line"), F.from_json(text, broken, {"columnNameOfCorruptRecord": "_broken"}).alias("m")
+    )
+    lsn = F.col("m.lsn").try_cast("bigint")
+    problem = (
+        F.when(F.col("m").isNull() | F.col("m._broken").isNotNull(), F.lit(MALFORMED))
+        .when(F.col("m.seq").isNull(), F.lit(NO_SEQ))
+        .when(F.col("m.kind").isNull(), F.lit(NO_KIND))
+        .when(F.col("m.lsn").isNotNull() & lsn.isNull(), F.lit(BAD_LSN))
+    )
+    fields = ((lsn if f.name == "lsn" else F.col(f"m.{f.name}")).alias(f.name) for f in S.RAW_LOG.fields)
+    return read.select(*fields, problem.alias("problem"), F.when(problem.isNotNull(), F.col("line")).alias("line"))
+
+
+def checked(raw: DataFrame) -> DataFrame:
+    """A raw log with ``problem``, what is wrong with a row or NULL, and ``line``, its text if it had one.
+
+    Rows without a sequence number have no place in the log; rows without a kind say nothing.
+    """
+    if "problem" in raw.columns:
+        return raw
+    problem = F.when(F.col("seq").isNull(), F.lit(NO_SEQ)).when(F.col("kind").isNull(), F.lit(NO_KIND))
+    return raw.withColumns({"problem": problem, "line": F.lit(None).cast("string")})
+
+
+def usable(landed: DataFrame) -> DataFrame:
+    """The rows of a checked log that can be used, as a plain raw log."""
+    kept = landed.filter(F.col("problem").isNull() | ~F.col("problem").isin(*LEFT_OUT))
+    return kept.select(*(f.name for f in S.RAW_LOG.fields))
+
+
+def rejects(landed: DataFrame) -> DataFrame:
+    """What was wrong in a checked log: ``seq, reason, text``, one row each."""
+    row = F.to_json(F.struct(*(F.col(f.name) for f in S.RAW_LOG.fields)))
+    return landed.filter(F.col("problem").isNotNull()).select(
+        "seq", F.col("problem").alias("reason"), F.coalesce("line", row).alias("text")
+    )
+
+
+def _landed(reader, path: str, fmt: str) -> DataFrame:
+    if fmt == "parquet":
+        return checked(reader.schema(S.RAW_LOG).parquet(path))
+    if fmt == "json":
+        return parsed_lines(reader.text(path))
+    raise ValueError(f"unsupported log format: {fmt}")
+
+
+def read_landed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Everything landed under ``path``, unreadable rows too: see ``usable`` and ``rejects``."""
+    return _landed(spark.read, path, fmt)
 
 
 def read_log(
     spark: SparkSession, path: str, fmt: str = "parquet", start_lsn: int | None = None
 ) -> DataFrame:
-    """The raw log under ``path``. Text lines that do not parse are skipped.
+    """The usable rows of the raw log under ``path``.
 
     A position of 0 or none starts at the beginning. Only changes are cut by
     the position: layouts and commits before it are still needed.
     """
-    if fmt == "parquet":
-        raw = spark.read.schema(S.RAW_LOG).parquet(path)
-    elif fmt == "json":
-        raw = _shaped(spark.read.schema(TEXT_LOG).option("mode", "DROPMALFORMED").json(path))
-    else:
-        raise ValueError(f"unsupported log format: {fmt}")
-    return from_position(raw, start_lsn)
+    return from_position(usable(read_landed(spark, path, fmt)), start_lsn)
 
 
 def from_position(raw: DataFrame, start_lsn: int | None) -> DataFrame:
     if not start_lsn:
         return raw
-    return raw.filter(~F.col("kind").isin(*S.CHANGE_KINDS) | (F.col("lsn") >= F.lit(start_lsn)))
+    # A change without a position is not known to lie before it.
+    late = F.col("lsn").isNull() | (F.col("lsn") >= F.lit(start_lsn))
+    return raw.filter(F.coalesce(~F.col("kind").isin(*S.CHANGE_KINDS), F.lit(True)) | late)
 
 
 def stream_log(
@@ -54,37 +107,26 @@ def stream_log(
     start_lsn: int | None = None,
     max_files: int = 1000,
 ) -> DataFrame:
-    """The raw log as a stream of files, landed in arrival order."""
+    """The raw log as a stream of files, landed in arrival order. Unreadable rows stay in it, marked."""
     reader = spark.readStream.option("maxFilesPerTrigger", max_files)
-    if fmt == "parquet":
-        raw = reader.schema(S.RAW_LOG).parquet(path)
-    elif fmt == "json":
-        raw = _shaped(reader.schema(TEXT_LOG).option("mode", "DROPMALFORMED").json(path))
-    else:
-        raise ValueError(f"unsupported log format: {fmt}")
-    return from_position(raw, start_lsn)
+    return from_position(_landed(reader, path, fmt), start_lsn)
 
 
 def log_from_messages(messages: DataFrame) -> DataFrame:
     """The raw log from messages whose ``value`` is one JSON line of it, as a Kafka reader gives them.
 
-    Values that are not such lines are skipped, like malformed lines of a file.
+    Values that are not such lines are left out, like malformed lines of a file.
     """
-    text = F.col("value").cast("string")
-    broken = T.StructType([*TEXT_LOG.fields, T.StructField("_broken", T.StringType())])
-    parsed = messages.select(
-        F.from_json(text, broken, {"columnNameOfCorruptRecord": "_broken"}).alias("m")
-    ).select("m.*")
-    return _shaped(parsed.filter(F.col("_broken").isNull() & F.col("kind").isNotNull()))
+    return usable(parsed_lines(messages))
 
 
 def stream_kafka(spark: SparkSession, brokers: Sequence[str], topic: str, **options) -> DataFrame:
-    """The raw log from one Kafka topic of a single partition, which keeps arrival order.
+    """The raw log from one Kafka topic of a single partition, which keeps arrival order; bad messages are marked.
 
     The cluster has to bring Spark's connector.
     """
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", ",".join(brokers))
-    return log_from_messages(reader.option("subscribe", topic).options(**options).load())
+    return parsed_lines(reader.option("subscribe", topic).options(**options).load())
 
 
 def land_in_order(raw: DataFrame, path: str, rows_per_file: int = 5_000_000, min_files: int = 1) -> None:

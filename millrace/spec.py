@@ -30,6 +30,11 @@ class SourceSpec:
     tables: tuple[str, ...] = ()  # none means all
     start_lsn: str | int | None = None
     ts_mode: str = TRANSACTION
+    # "any": every delivery of a change is an event; "first": only the first one, among this and the last
+    # ``remember`` batches.
+    deliveries: str = "any"
+    remember: int = 100
+    resume: bool = False  # a batch run goes on where the last one stopped
 
 
 @dataclass(frozen=True)
@@ -132,6 +137,8 @@ class PipelineSpec:
             raise ValueError(f"unsupported source type: {self.source.type}")
         if self.source.ts_mode not in (TRANSACTION, LAST_SEEN):
             raise ValueError(f"unsupported source ts mode: {self.source.ts_mode}")
+        if self.source.deliveries not in ("any", "first"):
+            raise ValueError(f"unsupported source deliveries: {self.source.deliveries}")
         parse_position(self.source.start_lsn)
         t = self.transform
         if t is not None and t.enabled:

@@ -32,6 +32,15 @@ class BatchTable:
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(self.folder(batch_id))
 
+    def numbers(self) -> list[int]:
+        """Batches that were written to the end."""
+        fs, target = _path(self.spark, self.path)
+        if not fs.exists(target):
+            return []
+        names = [entry.getPath().getName() for entry in fs.listStatus(target)]
+        found = [int(name[6:]) for name in names if name.startswith("batch=")]
+        return [n for n in found if exists(self.spark, f"{self.folder(n)}/_SUCCESS")]
+
     def has(self, batch_id: int) -> bool:
         return exists(self.spark, self.folder(batch_id))
 

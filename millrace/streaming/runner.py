@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark import StorageLevel
@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace import schemas as S
-from millrace.operators import metrics, outcome
+from millrace.operators import delivery, metrics, outcome
 from millrace.operators.commits import TRANSACTION
 from millrace.operators.decode import ChangeLog, decode
-from millrace.operators.offsets import Offset, OffsetLedger
+from millrace.operators.offsets import Offset, OffsetLedger, RunLedger, rows_of
 from millrace.operators.transforms import Transform, UserFunction, chain
 from millrace.session import configure, shared_folder
 from millrace.sinks.registry import Sink, SinkRegistry
-from millrace.sources.landing import from_position, read_log, stream_log
+from millrace.sources import landing
+from millrace.sources.landing import from_position, stream_log
 from millrace.spec import ModuleSpec, PipelineSpec, parse_position
 from millrace.store import BatchTable
 from millrace.streaming.state import Mark, StreamState
@@ -59,7 +60,8 @@ class Pipeline:
     """Decode, transform, route, deliver and account, as laid down in a spec.
 
     Everything kept between batches is in ``work_dir``: ``staged`` (the rows of
-    the running batch, fixed before any output), ``ledger``, ``offsets`` and ``state``.
+    the running batch, fixed before any output), ``ledger``, ``rejects`` (rows not
+    usable as landed), ``offsets``, ``runs`` and ``state``.
     """
 
     def __init__(
@@ -86,6 +88,8 @@ class Pipeline:
         self.staged = BatchTable(spark, f"{work}/staged")
         self.ledger = BatchTable(spark, f"{work}/ledger", S.LEDGER.simpleString()[7:-1].replace(":", " "))
         self.offsets = OffsetLedger(spark, f"{work}/offsets")
+        self.rejects = BatchTable(spark, f"{work}/rejects", landing.REJECTS)
+        self.runs = RunLedger(spark, f"{work}/runs")
         self.state = StreamState(spark, f"{work}/state")
 
     # -- one batch ---------------------------------------------------------------
@@ -93,6 +97,7 @@ class Pipeline:
     def process(self, log: ChangeLog, batch_id: int, last_before: datetime | None = None) -> BatchReport:
         """Take one part of the log through all steps."""
         spec, report = self.spec, BatchReport(batch_id)
+        log, repeated = self._first_deliveries(log, batch_id)
         decoded = decode(log, spec.source.ts_mode, spec.source.tables, last_before)
         begun = outcome.begin(decoded)
         numbered = bool(spec.transform and spec.transform.modules)
@@ -123,7 +128,11 @@ class Pipeline:
                 "attempts", F.when(outcome.is_live(), F.lit(attempts)).otherwise(F.col("attempts"))
             )
         done = outcome.finish(done, spec.retry.max_attempts, dead_letters=not lost)
-        self.ledger.write(outcome.ledger_rows(done, self.now()), batch_id)
+        rows = outcome.ledger_rows(done, self.now())
+        for left_out in (repeated, self._unreadable(batch_id)):
+            if left_out is not None:
+                rows = rows.unionByName(left_out)
+        self.ledger.write(rows, batch_id)
         self._acknowledge(batch_id)
         if batch_id:
             self.staged.drop(batch_id - 1)
@@ -131,6 +140,31 @@ class Pipeline:
             self.on_batch(report)
         return report
 
+    def _first_deliveries(self, log: ChangeLog, batch_id: int) -> tuple[ChangeLog, DataFrame | None]:
+        """The log without changes delivered before, and ledger rows for those."""
+        source = self.spec.source
+        if source.deliveries != "first":
+            return log, None
+        seen = self.state.seen_before(batch_id, source.remember)
+        found = self.state.see(batch_id, delivery.identified(log.changes, log.begins), source.remember)
+        again = delivery.repeated(found, seen)
+        rows = log.changes.select("seq", "lsn", "kind").join(again, "seq", "left_semi")
+        left_out = outcome.left_out_rows(rows, outcome.REPEATED, F.lit(None), self.now())
+        return replace(log, changes=log.changes.join(again, "seq", "left_anti")), left_out
+
+    def _unreadable(self, batch_id: int) -> DataFrame | None:
+        """Ledger rows for what could not be used as it was landed."""
+        if not self.rejects.has(batch_id):
+            return None
+        lost = self.rejects.read(batch_id).filter(F.col("reason").isin(*landing.LEFT_OUT))
+        return outcome.left_out_rows(lost, outcome.UNREADABLE, F.col("reason"), self.now())
+
+    def _usable(self, raw: DataFrame, batch_id: int) -> DataFrame:
+        """The usable rows; what is wrong with any row is kept beside the ledger."""
+        landed = landing.checked(raw)
+        self.rejects.write(landing.rejects(landed), batch_id)
+        return landing.usable(landed)
+
     def _stage(self, chained: DataFrame, batch_id: int, report: BatchReport) -> None:
         """Fix the outcome of decode and transforms, and the records to write.
 
@@ -205,17 +239,50 @@ class Pipeline:
 
     # -- whole log ---------------------------------------------------------------
 
-    def run_batch(self, raw: DataFrame | None = None, batch_id: int = 0) -> DataFrame:
-        """Process a whole log; returns its ledger. Changes without a commit have no time."""
+    def _given(self, raw: DataFrame | None) -> DataFrame:
+        """The log handed over, or the one the spec names, from the position the spec gives."""
         source = self.spec.source
-        start = parse_position(source.start_lsn)
         if raw is None:
-            raw = read_log(self.spark, source.path, source.format, start)
-        else:
-            raw = from_position(raw, start)
-        self.process(ChangeLog.of(raw), batch_id)
+            raw = landing.read_landed(self.spark, source.path, source.format)
+        return from_position(raw, parse_position(source.start_lsn))
+
+    def run_batch(self, raw: DataFrame | None = None, batch_id: int = 0) -> DataFrame:
+        """Process a whole log; returns its ledger. Changes without a commit have no time.
+
+        With ``source.resume`` it is the next part of the log, see ``run_next``.
+        """
+        if self.spec.source.resume:
+            self.run_next(raw)
+            newest = self.runs.newest()
+            return self.spark.createDataFrame([], S.LEDGER) if newest is None else self.ledger.read(newest.batch_id)
+        self.process(ChangeLog.of(self._usable(self._given(raw), batch_id)), batch_id)
         return self.ledger.read(batch_id)
 
+    def run_next(self, raw: DataFrame | None = None, final: bool = False) -> DataFrame | None:
+        """Process what the log has beyond the batches done so far, as the next batch; returns its ledger.
+
+        None if there is nothing new. A batch that broke off is done again first, with the rows it had. The
+        layouts, last commit and open transactions before it come from the state, not from the log, so only
+        the new range is read. Changes of a transaction without its commit wait for the next
+        batch, unless this one is ``final``. A ledger of positions left by other runs is honoured: the
+        first batch then starts after its position.
+        """
+        log = landing.checked(self._given(raw))
+        if self.runs.newest() is None and self.runs.unfinished() is None:
+            reached = self.offsets.load()
+            if not reached.is_zero:
+                log = from_position(log, reached.lsn + 1)
+        run = self.runs.plan(log)
+        if run is None:
+            return None
+        part = rows_of(log, run)
+        if run.after is None:
+            # Rows without a place belong to the first batch.
+            part = log.filter(F.col("seq").isNull() | (F.col("seq") <= run.last))
+        self._stream_batch(part, run.batch_id, final)
+        self.runs.finish(run)
+        return self.ledger.read(run.batch_id)
+
     # -- stream ------------------------------------------------------------------
 
     def run_stream(
@@ -248,7 +315,8 @@ class Pipeline:
         finally:
             batch.unpersist()
 
-    def _stream_batch(self, batch: DataFrame, batch_id: int) -> None:
+    def _stream_batch(self, batch: DataFrame, batch_id: int, final: bool = False) -> None:
+        batch = self._usable(batch, batch_id)
         mark = self.state.mark(batch_id - 1)
         known = self.state.relations_before(batch_id)
         held = self.state.held_before(batch_id, mark)
@@ -257,7 +325,7 @@ class Pipeline:
         last = commits.agg(F.max(F.struct("seq", "commit_ts")).alias("c")).select("c.*").first()
         newest = last.commit_ts if last.seq is not None else mark.last_commit_ts
 
-        by_transaction = self.spec.source.ts_mode == TRANSACTION
+        by_transaction = self.spec.source.ts_mode == TRANSACTION and not final
         tail, held_from = None, None
         if by_transaction:
             cut = -1 if last.seq is None else last.seq
@@ -269,8 +337,8 @@ class Pipeline:
 
         log = ChangeLog.of(full)
         relations = log.relations if known is None else known.unionByName(log.relations)
-        log = ChangeLog(log.changes, relations, log.commits)
-        after = Mark(held_from, newest)
+        log = replace(log, relations=relations)
+        after = Mark(held_from, newest, mark.last_commit_seq if last.seq is None else last.seq)
         self.state.save(batch_id, after, relations, tail)
         self.process(log, batch_id, mark.last_commit_ts)
         self.state.forget(batch_id, after)

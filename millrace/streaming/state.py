@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from millrace import schemas as S
 from millrace.store import BatchTable
 
-MARK_SCHEMA = "held_from bigint, last_commit_ts timestamp"
+MARK_SCHEMA = "held_from bigint, last_commit_ts timestamp, last_commit_seq bigint"
 
 
 @dataclass(frozen=True)
 class Mark:
-    """First batch whose tail is still held back, and the last commit time seen."""
+    """First batch whose tail is still held back, and the last commit seen: its time and its place."""
 
     held_from: int | None = None
     last_commit_ts: datetime | None = None
+    last_commit_seq: int | None = None
 
 
 class StreamState:
@@ -32,16 +33,17 @@ class StreamState:
         self.marks = BatchTable(spark, f"{path}/marks", MARK_SCHEMA)
         self.relations = BatchTable(spark, f"{path}/relations")
         self.held = BatchTable(spark, f"{path}/held")
+        self.seen = BatchTable(spark, f"{path}/seen", "seq bigint, xid bigint, lsn bigint, kind string, nth int")
 
     def mark(self, batch_id: int) -> Mark:
         if batch_id < 0 or not self.marks.has(batch_id):
             return Mark()
         micros = F.unix_micros("last_commit_ts").alias("micros")
-        row = self.marks.read(batch_id).select("held_from", "last_commit_ts", micros).first()
-        return Mark(row.held_from, row.last_commit_ts)
+        row = self.marks.read(batch_id).select("held_from", "last_commit_ts", "last_commit_seq", micros).first()
+        return Mark(row.held_from, row.last_commit_ts, row.last_commit_seq)
 
     def relations_before(self, batch_id: int) -> DataFrame | None:
-        """The newest layout of each table as of the end of the previous batch."""
+        """The layouts that rows after the previous batch, or held back by it, can need."""
         if batch_id < 1 or not self.relations.has(batch_id - 1):
             return None
         return self.relations.read(batch_id - 1)
@@ -52,20 +54,41 @@ class StreamState:
             return None
         return self.held.read_range(mark.held_from, batch_id - 1)
 
+    def seen_before(self, batch_id: int, remember: int) -> DataFrame | None:
+        """Identities of the changes of the last ``remember`` batches."""
+        return self.seen.read_range(max(batch_id - remember, 0), batch_id - 1)
+
+    def see(self, batch_id: int, identities: DataFrame, remember: int) -> DataFrame:
+        """Keep a batch's identities, and drop those that neither it nor a rerun of the one before needs."""
+        self.seen.write(identities, batch_id)
+        for number in self.seen.numbers():
+            if number < batch_id - remember - 1:
+                self.seen.drop(number)
+        return self.seen.read(batch_id)
+
     def save(
         self, batch_id: int, mark: Mark, relations: DataFrame, held: DataFrame | None
     ) -> None:
-        """Store the state after a batch; ``relations`` may repeat a table's layouts."""
+        """Store the state after a batch; ``relations`` may repeat a table's layouts.
+
+        Of each table the newest layout is kept; where rows are held back, the newest one before them and
+        all later ones, as those rows belong to the layout in force when they arrived.
+        """
         layout = F.struct("seq", "ns", "rel", "cols")
+        settled = F.lit(True)
+        if held is not None:
+            settled = F.col("seq") <= F.lit(-1 if mark.last_commit_seq is None else mark.last_commit_seq)
         newest = (
-            relations.groupBy("relation_id")
+            relations.filter(settled)
+            .groupBy("relation_id")
             .agg(F.max_by(layout, "seq").alias("r"))
             .select("r.seq", "relation_id", "r.ns", "r.rel", "r.cols")
         )
-        self.relations.write(newest, batch_id)
+        later = relations.filter(~settled).select(*newest.columns).dropDuplicates(["relation_id", "seq"])
+        self.relations.write(newest.unionByName(later).coalesce(1), batch_id)
         if held is not None:
             self.held.write(held.select(*(f.name for f in S.RAW_LOG.fields)), batch_id)
-        row = self.spark.createDataFrame([(mark.held_from, mark.last_commit_ts)], MARK_SCHEMA)
+        row = self.spark.createDataFrame([(mark.held_from, mark.last_commit_ts, mark.last_commit_seq)], MARK_SCHEMA)
         self.marks.write(row.coalesce(1), batch_id)
 
     def forget(self, batch_id: int, mark: Mark) -> None:
