@@ -13,7 +13,7 @@ from millrace.functions import pgtext
 from millrace.functions.once import once
 from millrace.operators.commits import stamp_commit_time
 from millrace.operators.outcome import OP
-from millrace.operators.relations import attach_relations, relation_spans, spans_are_small
+from millrace.operators.relations import attach_relations, out_of_scope, relation_spans, spans_are_small
 
 SOURCE = "postgres"
 
@@ -52,6 +52,14 @@ class ChangeLog:
             return self
         return replace(self, changes=self.changes.filter(F.col("lsn").isNull() | (F.col("lsn") >= F.lit(lsn))))
 
+    def in_scope(self, tables: Sequence[str] | None) -> ChangeLog:
+        """Without changes of ids that never stand for one of the tables, left out by the scan itself."""
+        out = out_of_scope(self.relations, tables) if tables else []
+        if not out:
+            return self
+        kept = F.col("relation_id").isNull() | ~F.col("relation_id").isin(*out)
+        return replace(self, changes=self.changes.filter(kept))
+
     def with_relations(self) -> DataFrame:
         """Changes with ``table, rel, cols``."""
         small = self.small_relations
@@ -125,6 +133,7 @@ def decode_changes(bound: DataFrame) -> DataFrame:
     error = f"""
         CASE WHEN kind NOT IN ('I', 'U', 'D') THEN 'unknown message type: ' || kind
              WHEN cols IS NULL THEN 'unknown relation ID: ' || relation_id
+             WHEN repeated_name THEN 'failed to parse tuple: repeated column name in relation ' || rel
              WHEN (kind IN ('I', 'U') AND new IS NULL) OR (kind = 'D' AND old IS NULL)
              THEN 'failed to parse tuple: missing'
              WHEN kind = 'I' THEN {_tuple_error("_new", "tuple")}
@@ -156,7 +165,7 @@ def decode(
     last_before=None,
 ) -> DataFrame:
     """The whole decode step: layout, scope, commit time, images. ``error`` marks failures."""
-    bound = in_scope(log.with_relations(), tables)
+    bound = in_scope(log.in_scope(tables).with_relations(), tables)
     if ts_mode:
         bound = stamp_commit_time(bound, log.commits, ts_mode, last_before=last_before)
     return decode_changes(bound)
@@ -171,53 +180,108 @@ def errors_of(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("error").isNotNull()).select("seq", "lsn", "table", "op", "error")
 
 
+def _view_columns(columns: Iterable[tuple]) -> list[tuple[str, int, str | None]]:
+    out = [(c[0], c[1], c[2] if len(c) > 2 else None) for c in columns]
+    for name, oid, as_type in out:
+        if as_type and (oid != pgtext.NUMERIC or not as_type.lower().startswith("decimal")):
+            raise ValueError(f"column {name}: only numeric columns can be shown as {as_type}")
+    return out
+
+
 def table_view(
     log: ChangeLog,
     table: str,
-    columns: Iterable[tuple[str, int]],
+    columns: Iterable[tuple],
     ts_mode: str | None = None,
     keep_errors: bool = False,
 ) -> DataFrame:
-    """Changes of one table with typed ``before`` and ``after`` structs.
+    """Changes of one table with typed ``before`` and ``after`` structs, whatever its layout was at the time.
 
-    ``columns`` are (name, type number) in layout order. The conversion is
-    built per column, so it compiles, and columns not read are not converted.
-    With ``keep_errors`` a change that fails conversion stays, with ``error``.
+    ``columns`` are (name, type number) as the view shows them, or (name, numeric, "decimal(p,s)"). A value is
+    found by the column's place in the layout in force; a column that layout lacks is NULL. Text has to
+    fit the type in force and the type shown. The places are worked out once per layout, so the
+    conversion compiles, and columns not read are not converted. With ``keep_errors`` a change that
+    does not fit stays, with ``error``.
     """
-    columns = list(columns)
-    bound = log.with_relations().filter(F.col("table") == table)
+    columns = _view_columns(columns)
+    spans = relation_spans(log.relations).filter(F.col("table") == table)
+    # Per layout: the place of each shown column, and which shown columns had another type.
+    place = {i: f"_at{i}" for i in range(len(columns))}
+    names = F.transform("cols", lambda c: c["name"])
+    spans = spans.withColumns(
+        {place[i]: F.nullif(F.array_position(names, name), F.lit(0)) - 1 for i, (name, _, _) in enumerate(columns)}
+    ).withColumns(
+        {
+            "_others": F.array_compact(
+                F.array(
+                    *(
+                        F.when(F.expr(f"get(cols, CAST({place[i]} AS INT)).oid") != oid, F.lit(name))
+                        for i, (name, oid, _) in enumerate(columns)
+                    )
+                )
+            )
+        }
+    )
+    small = log.small_relations
+    if small is None:
+        small = spans_are_small(log.relations)
+    bound = attach_relations(log.in_scope([table]).changes, spans, small).filter(F.col("table").isNotNull())
     if ts_mode:
         bound = stamp_commit_time(bound, log.commits, ts_mode)
     else:
         bound = bound.withColumn("ts", F.lit(None).cast("timestamp"))
 
+    def text(side: str, i: int) -> str:
+        return f"get({side}, CAST({place[i]} AS INT))"
+
+    def shown(side: str, i: int) -> str:
+        _, oid, as_type = columns[i]
+        return f"try_cast({text(side, i)} AS {as_type})" if as_type else pgtext.typed_value(text(side, i), oid)
+
+    def may_fail(i: int) -> bool:
+        _, oid, as_type = columns[i]
+        rule = pgtext.pg_type(oid)
+        return bool(as_type) or (rule is not pgtext.TEXT_LIKE and not rule.null_is_valid)
+
     def checked(side: str) -> Column:
         """Values that can fail, and so are looked at more than once."""
-        values = [
-            f"{pgtext.typed_value(f'get({side}, {i})', oid)} AS `{name}`"
-            for i, (name, oid) in enumerate(columns)
-            if not pgtext.pg_type(oid).null_is_valid
-        ]
+        values = [f"{shown(side, i)} AS `{columns[i][0]}`" for i in place if may_fail(i)]
         return F.expr(f"struct({', '.join(values)})" if values else "struct(1 AS none)")
 
     def image(side: str) -> Column:
         """All values. JSON never fails; it is parsed here, outside the compiled part above."""
         values = [
-            f"{pgtext.typed_value(f'get({side}, {i})', oid)} AS `{name}`"
-            if pgtext.pg_type(oid).null_is_valid
-            else f"_{side}.`{name}` AS `{name}`"
-            for i, (name, oid) in enumerate(columns)
+            f"{f'_{side}.`{name}`' if may_fail(i) else shown(side, i)} AS `{name}`" for i, (name, _, _) in enumerate(columns)
         ]
-        return F.expr(f"CASE WHEN {side} IS NOT NULL THEN struct({', '.join(values)}) END")
-
-    def failure(side: str) -> Column:
-        """A value beyond the layout, or text whose typed value is missing."""
-        checks = [f"size({side}) > {len(columns)}"]
-        for i, (name, oid) in enumerate(columns):
-            rule = pgtext.pg_type(oid)
-            if rule is not pgtext.TEXT_LIKE and not rule.null_is_valid:
-                checks.append(f"(get({side}, {i}) IS NOT NULL AND _{side}.`{name}` IS NULL)")
-        return F.coalesce(F.expr(" OR ".join(checks)), F.lit(False))
+        return F.expr(f"CASE WHEN {side} IS NOT NULL AND error IS NULL THEN struct({', '.join(values)}) END")
+
+    def failure(side: str, label: str) -> str:
+        """The first thing wrong with a tuple, in the order of its layout; the type in force before the type shown."""
+        found = [
+            f"CASE WHEN {text(side, i)} IS NOT NULL AND _{side}.`{name}` IS NULL THEN struct(CAST({place[i]} AS INT) AS at, 1 AS nth, "
+            f"'failed to convert column {name}: invalid {_label(oid)} value \"' || {text(side, i)} || '\"' AS said) END"
+            for i, (name, oid, _) in enumerate(columns)
+            if may_fail(i)
+        ]
+        # Columns that had another type have to fit that one too; seldom, so not compiled.
+        other = (
+            f"filter(zip_with(slice(cols, 1, size({side})), {side}, (c, t) -> named_struct('name', c.name, 'oid', c.oid, "
+            f"'text', t, 'value', CASE WHEN array_contains(_others, c.name) THEN {pgtext.wire_value('t', 'c.oid')} END)), "
+            f"f -> array_contains(_others, f.name) AND {FAILED})"
+        )
+        message = (
+            "'failed to convert column ' || f.name || ': invalid ' || "
+            f"{pgtext.type_label('f.oid')} || ' value \"' || f.text || '\"'"
+        )
+        found.append(
+            f"CASE WHEN size(_others) > 0 THEN get(transform({other}, f -> struct("
+            f"CAST(array_position(transform(cols, c -> c.name), f.name) - 1 AS INT) AS at, 0 AS nth, {message} AS said)), 0) END"
+        )
+        found.append(
+            f"CASE WHEN size({side}) > size(cols) THEN struct(size(cols) AS at, 0 AS nth, "
+            f"'column index ' || size(cols) || ' out of range for relation ' || rel AS said) END"
+        )
+        return f"'failed to parse {label}: ' || array_min(array_compact(array({', '.join(found)}))).said"
 
     # Tuples a kind of change does not use are not looked at.
     used = bound.withColumns(
@@ -226,7 +290,16 @@ def table_view(
             "new": F.when(F.col("kind").isin(S.INSERT, S.UPDATE), F.col("new")),
         }
     )
-    out = once(used, _old=checked("old"), _new=checked("new")).select(
+    error = F.expr(
+        f"""CASE WHEN kind NOT IN ('I', 'U', 'D') THEN 'unknown message type: ' || kind
+            WHEN repeated_name THEN 'failed to parse tuple: repeated column name in relation ' || rel
+            WHEN (kind IN ('I', 'U') AND new IS NULL) OR (kind = 'D' AND old IS NULL) THEN 'failed to parse tuple: missing'
+            WHEN kind = 'I' THEN {failure("new", "tuple")}
+            WHEN kind = 'D' THEN {failure("old", "tuple")}
+            ELSE coalesce({failure("old", "old tuple")}, {failure("new", "new tuple")}) END"""
+    )
+    converted = once(used, _old=checked("old"), _new=checked("new"))
+    out = once(converted, error=error).select(
         "seq",
         "lsn",
         "xid",
@@ -236,6 +309,12 @@ def table_view(
         "ts",
         image("old").alias("before"),
         image("new").alias("after"),
-        (failure("old") | failure("new")).alias("failed"),
+        F.col("error").isNotNull().alias("failed"),
+        "error",
     )
-    return out if keep_errors else out.filter(~F.col("failed")).drop("failed")
+    return out if keep_errors else out.filter(~F.col("failed")).drop("failed", "error")
+
+
+def _label(oid: int) -> str:
+    rule = pgtext.pg_type(oid)
+    return "numeric" if oid == pgtext.NUMERIC else rule.name

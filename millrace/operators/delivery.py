@@ -19,7 +19,8 @@ IDENTITY = (*POSITION, "nth")
 def identified(changes: DataFrame, begins: DataFrame) -> DataFrame:
     """``seq`` and the identity of every change that has one: narrow rows, whatever the images weigh.
 
-    The array of begins is one row per transaction, and only of those that began more than once.
+    The array of begins is one row per transaction, and only of those that began more than once. A begin has
+    to be in the same part of the log as its changes, as it is where whole transactions are taken.
     """
     narrow = changes.select("seq", *POSITION).filter("xid IS NOT NULL AND lsn IS NOT NULL")
     starts = (

@@ -6,17 +6,26 @@ the join shuffles, with keys that hold a large part of the log spread first.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import shared_folder
+
 # At most this many keys can each hold more than 1/MAX_HOT_KEYS of the rows.
 MAX_HOT_KEYS = 2000
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 256 << 20
 
 
-def within(df: DataFrame, rows: int) -> bool:
-    """Whether a table has at most ``rows`` rows; stops reading soon after the limit."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+def within(df: DataFrame, rows: int, size: int | None = None) -> bool:
+    """Whether a table has at most ``rows`` rows, and ``size`` bytes if given; stops reading soon after the limit."""
+    if size is None:
+        return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+    weight = F.octet_length(F.to_json(F.struct("*")))
+    n, total = df.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(weight)).first()
+    return n <= rows and (total or 0) <= size
 
 
 def hot_keys(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -41,11 +50,38 @@ def left_lookup(
     key: str,
     order: str = "seq",
     broadcast_rows: int = MAX_BROADCAST_ROWS,
+    broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """``log`` left-joined to ``lookup``, which has one row per key."""
-    if within(lookup, broadcast_rows):
+    """``log`` left-joined to ``lookup``, which has one row per key.
+
+    A large lookup needs the counts of keys before the join. The log is written to the shared folder first, so
+    whatever made it, user functions among it, runs once and both steps see the same rows.
+    """
+    if within(lookup, broadcast_rows, broadcast_bytes):
         return log.join(F.broadcast(lookup), key, "left")
-    return _spread_join(log, lookup, key, order, None)
+    return _salted_join(fixed(log), lookup, key, order)
+
+
+def fixed(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder, by all tasks, and read from there."""
+    path = f"{shared_folder(df.sparkSession)}/millrace-fixed/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _salted_join(log: DataFrame, lookup: DataFrame, key: str, order: str) -> DataFrame:
+    """Shuffle join on (key, salt): the rows of a hot key are dealt out by a hash, its lookup row goes to every salt.
+
+    A hash spreads a key however its rows lie in the log, in one burst too. Rows without a key match nothing
+    and are spread likewise.
+    """
+    hot = F.broadcast(hot_keys(log, key, order).select(key, "_parts"))
+    parts = F.coalesce("_parts", F.when(F.col(key).isNull(), F.lit(MAX_HOT_KEYS)).otherwise(F.lit(1)))
+    salt = F.pmod(F.xxhash64(order), parts).cast("int")
+    left = log.join(hot, key, "left").withColumn("_salt", salt).drop("_parts")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    right = lookup.join(hot, key, "left").withColumn("_salt", every).drop("_parts")
+    return left.join(right, [key, "_salt"], "left").drop("_salt")
 
 
 def _slice_of(key: str, order: str) -> Column:
@@ -57,29 +93,25 @@ def _slice_of(key: str, order: str) -> Column:
     return (
         F.when(F.col(key).isNull(), F.pmod(F.hash(order), F.lit(MAX_HOT_KEYS)))
         .when(F.col("_parts").isNull(), F.lit(0))
-        .otherwise(((F.col(order) - F.col("_lo")) / width).cast("int"))
+        .otherwise(F.least(F.greatest(F.floor((F.col(order) - F.col("_lo")) / width), F.lit(0)), F.col("_parts") - 1).cast("int"))
     )
 
 
-def _spread_join(
-    log: DataFrame, lookup: DataFrame, key: str, order: str, span: tuple[str, str] | None
-) -> DataFrame:
+def _spread_join(log: DataFrame, lookup: DataFrame, key: str, order: str, span: tuple[str, str]) -> DataFrame:
     """Shuffle join on (key, slice): each hot key is cut into ranges of ``order``.
 
-    With ``span`` the lookup rows are valid for ``span[0] <= order < span[1]``
-    and go only to the slices they overlap; otherwise they go to every slice.
+    The lookup rows are valid for ``span[0] <= order < span[1]`` and go only to the slices they overlap.
     """
     hot = F.broadcast(hot_keys(log, key, order))
     sides = ["_n", "_lo", "_hi", "_parts"]
     left = log.join(hot, key, "left").withColumn("_slice", _slice_of(key, order)).drop(*sides)
     right = lookup.join(hot, key, "left")
-    first, last = F.lit(0).cast("bigint"), (F.coalesce(F.col("_parts"), F.lit(1)) - 1).cast("bigint")
-    if span:
-        low, high = span
-        width = F.greatest(F.expr("(_hi - _lo) div _parts + 1"), F.lit(1))
-        cut = lambda c: F.coalesce(F.floor((c - F.col("_lo")) / width), F.lit(0))
-        first = F.least(F.greatest(F.lit(0), cut(F.col(low))), last + 1).cast("int")
-        last = F.least(last, cut(F.col(high) - 1)).cast("int")
+    last = (F.coalesce(F.col("_parts"), F.lit(1)) - 1).cast("bigint")
+    low, high = span
+    width = F.greatest(F.expr("(_hi - _lo) div _parts + 1"), F.lit(1))
+    # Rows outside the counted range are in the outermost slices.
+    cut = lambda c: F.least(F.greatest(F.coalesce(F.floor((c - F.col("_lo")) / width), F.lit(0)), F.lit(0)), last)
+    first, last = cut(F.col(low)).cast("int"), cut(F.col(high) - 1).cast("int")
     right = (
         right.withColumn("_first", first)
         .withColumn("_last", last)
@@ -87,8 +119,6 @@ def _spread_join(
         .withColumn("_slice", F.explode(F.sequence(F.col("_first").cast("int"), F.col("_last").cast("int"))))
         .drop("_first", "_last", *sides)
     )
-    if span is None:
-        return left.join(right, [key, "_slice"], "left").drop("_slice")
     l, r = left.alias("l"), right.alias("r")
     condition = (
         (F.col(f"l.{key}") == F.col(f"r.{key}"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ END_OF_LOG = (1 << 63) - 1
 # Broadcast limits for the layouts: versions, and columns over all versions.
 MAX_VERSIONS = 50_000
 MAX_COLUMNS = 2_000_000
+# As many ids are listed in a filter at most.
+MAX_PUSHED_IDS = 10_000
 
 
 def table_name(ns: Column, rel: Column) -> Column:
@@ -44,6 +48,7 @@ def relation_spans(relations: DataFrame) -> DataFrame:
             table_name(F.col("ns"), F.col("rel")).alias("table"),
             "rel",
             "cols",
+            (F.size(F.array_distinct("cols.name")) < F.size("cols")).alias("repeated_name"),
         )
     )
 
@@ -54,6 +59,15 @@ def spans_are_small(relations: DataFrame) -> bool:
     return n <= MAX_VERSIONS and (columns or 0) <= MAX_COLUMNS
 
 
+def out_of_scope(relations: DataFrame, tables: Sequence[str], limit: int = MAX_PUSHED_IDS) -> list[int]:
+    """Ids that never stand for one of the tables, for a filter that the scan can take; none beyond the limit."""
+    named = relations.groupBy("relation_id").agg(
+        F.bool_or(table_name(F.col("ns"), F.col("rel")).isin(*tables)).alias("wanted")
+    )
+    ids = named.filter("NOT wanted AND relation_id IS NOT NULL").select("relation_id").limit(limit + 1).collect()
+    return [] if len(ids) > limit else sorted(r.relation_id for r in ids)
+
+
 def attach_relations(changes: DataFrame, spans: DataFrame, small: bool) -> DataFrame:
     """Add ``table, rel, cols`` of the covering span; NULL where none covers the change."""
     return asof_lookup(changes, spans, "relation_id", ("seq_from", "seq_to"), small).drop(

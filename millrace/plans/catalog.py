@@ -15,10 +15,8 @@ from millrace.operators import transforms as T
 from millrace.operators.decode import (
     ChangeLog,
     decode,
-    decode_changes,
     errors_of,
     events_of,
-    in_scope,
     table_view,
 )
 from millrace.plans import derived_log as logs
@@ -120,6 +118,15 @@ def decode_typed(spark, sf_dir):
     )
 
 
+@query
+def typed_view_layouts(spark, sf_dir):
+    """A table as typed columns while its layout changes: by the layout in force, with what does not fit."""
+    view = table_view(logs.drifting_log(spark, sf_dir), "drifting", logs.DRIFT_VIEW, keep_errors=True)
+    row = view.withColumn("r", F.coalesce("after", "before"))
+    total = F.col("r.total").cast("string").alias("total")
+    return row.select("seq", "op", "r.order_key", "r.cust_key", "r.status", total, "failed", "error")
+
+
 @query
 def decode_errors(spark, sf_dir):
     """Changes whose layout is unknown."""
@@ -162,9 +169,8 @@ def message_kinds(spark, sf_dir):
 @query
 def scope_filter(spark, sf_dir):
     """Only the captured tables."""
-    bound = logs.events_log(spark, sf_dir).with_relations()
-    events = events_of(decode_changes(in_scope(bound, ["users", "sales.orders"])))
-    return events.select("seq", "table", "op")
+    log = logs.events_log(spark, sf_dir)
+    return events_of(decode(log, ts_mode=None, tables=["users", "sales.orders"])).select("seq", "table", "op")
 
 
 @query
@@ -302,6 +308,27 @@ def chain_filter_enrich_mask(spark, sf_dir):
     return _images(staged, "seq", "table", "op")
 
 
+@query
+def enrich_large(spark, sf_dir):
+    """Enriched from a dimension too large to send to every task, after a user function; one key is hot."""
+    events = events_of(decode(logs.events_log(spark, sf_dir), ts_mode=None))
+    customers = logs.table(spark, sf_dir, "customer")
+    links = [
+        T.UserFunction("crowd", crowd),
+        T.enrich(customers, ("customer", "c_custkey"), {"segment": "c_mktsegment"}, broadcast_rows=10),
+    ]
+    staged = T.chain(outcome.begin(events), links).filter(outcome.is_live())
+    return staged.select("seq", "op", F.try_variant_get("after", "$.segment", "string").alias("segment"), "attempts")
+
+
+def crowd(event: dict) -> dict:
+    """Every third customer's events become customer 1's."""
+    if "after" in event:
+        user = event["after"].pop("user_id", None)
+        event["after"]["customer"] = 1 if user is not None and user % 3 == 0 else user
+    return event
+
+
 def settle(event: dict) -> dict | None:
     """Drops deletes, refuses some rows, and rewrites the rest."""
     if event["op"] == "delete":

@@ -41,15 +41,26 @@ ORDER_COLUMNS = (
     ("blob", P.BYTEA),
     ("uid", P.UUID),
 )
-ORDER_LAYOUTS = ((0, 301, "public", "order_facts", ORDER_COLUMNS),)
-OUTBOX_LAYOUTS = (
-    (
-        0,
-        401,
-        "public",
-        "outbox_events",
-        (("aggregate_id", P.INT8), ("event_type", P.TEXT), ("payload", P.JSON)),
-    ),
+# A table made anew gets another id, and announces its layout again after a reconnect.
+ORDER_IDS, OUTBOX_IDS = (301, 302, 303, 304), (401, 402)
+ORDER_LAYOUTS = (
+    *((i, rid, "public", "order_facts", ORDER_COLUMNS) for i, rid in enumerate(ORDER_IDS)),
+    (4002, 302, "public", "order_facts", ORDER_COLUMNS),
+)
+OUTBOX_COLUMNS = (("aggregate_id", P.INT8), ("event_type", P.TEXT), ("payload", P.JSON))
+OUTBOX_LAYOUTS = tuple((0, rid, "public", "outbox_events", OUTBOX_COLUMNS) for rid in OUTBOX_IDS)
+# One table whose layout changes: columns are added, change places and types, and go.
+DRIFT_VIEW = (
+    ("order_key", P.INT8),
+    ("cust_key", P.INT8),
+    ("status", P.BPCHAR),
+    ("total", P.NUMERIC, "decimal(14,2)"),
+)
+DRIFT_LAYOUTS = (
+    (0, 501, "", "drifting", (("order_key", P.INT8), ("cust_key", P.INT4), ("status", P.BPCHAR))),
+    (5002, 501, "", "drifting", (("status", P.BPCHAR), ("total", P.NUMERIC), ("order_key", P.INT8), ("cust_key", P.INT8))),
+    (10002, 501, "", "drifting", (("order_key", P.INT8), ("note", P.TEXT), ("total", P.FLOAT8), ("status", P.TEXT))),
+    (1, 502, "", "elsewhere", (("order_key", P.INT8),)),
 )
 
 
@@ -168,7 +179,7 @@ def orders_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
         (key * 64 + 16777216).alias("lsn"),
         F.expr("o_orderkey div 20").alias("xid"),
         F.when(turn == 0, S.INSERT).when(turn == 1, S.UPDATE).otherwise(S.DELETE).alias("kind"),
-        F.lit(301).alias("relation_id"),
+        (F.lit(ORDER_IDS[0]) + key % len(ORDER_IDS)).cast("int").alias("relation_id"),
         F.when(turn == 2, F.col("_values")).alias("old"),
         F.when(turn != 2, F.col("_values")).alias("new"),
     )
@@ -201,7 +212,7 @@ def outbox_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
         (key * 64 + 16777216).alias("lsn"),
         F.expr("o_orderkey div 20").alias("xid"),
         F.lit(S.INSERT).alias("kind"),
-        F.lit(401).alias("relation_id"),
+        (F.lit(OUTBOX_IDS[0]) + key % len(OUTBOX_IDS)).cast("int").alias("relation_id"),
         F.lit(None).cast("array<string>").alias("old"),
         texts.alias("new"),
     )
@@ -209,6 +220,39 @@ def outbox_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
     return ChangeLog(changes, layout_rows(spark, OUTBOX_LAYOUTS), commits, small_relations=True)
 
 
+def drifting_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
+    """One change per row of ``orders``, of a table whose layout changes twice."""
+    key = F.col("o_orderkey")
+    number = F.when(key % 97 == 0, F.lit("n/a")).otherwise(key.cast("string"))
+    # Fits eight bytes, not four.
+    customer = F.when(key % 89 == 0, F.lit("99999999999")).otherwise(F.col("o_custkey").cast("string"))
+    status = F.col("o_orderstatus")
+    # Fits a floating column, not a decimal one.
+    total = F.when(key % 83 == 0, F.lit("NaN")).otherwise(cents_text(F.col("o_totalprice")))
+    seq = key * 10 + 1
+    values = (
+        F.when(seq < 5002, F.array(number, customer, status))
+        .when(seq < 10002, F.array(status, cents_text(F.col("o_totalprice")), number, customer))
+        .otherwise(F.array(number, F.lit("-"), total, status))
+    )
+    elsewhere = key % 10 == 9
+    values = F.when(elsewhere, F.array(number)).otherwise(
+        F.when(key % 79 == 0, F.concat(values, F.array(F.lit("extra")))).otherwise(values)
+    )
+    orders = table(spark, sf_dir, "orders")
+    changes = spread(orders).withColumn("_values", values).select(
+        seq.alias("seq"),
+        (key * 64 + 16777216).alias("lsn"),
+        F.expr("o_orderkey div 20").alias("xid"),
+        F.when(key % 2 == 0, S.INSERT).otherwise(S.DELETE).alias("kind"),
+        F.when(elsewhere, F.lit(502)).otherwise(F.lit(501)).alias("relation_id"),
+        F.when(key % 2 == 1, F.col("_values")).alias("old"),
+        F.when(key % 2 == 0, F.col("_values")).alias("new"),
+    )
+    commits = changes.limit(0).select("seq", "xid", F.lit(None).cast("timestamp").alias("commit_ts"))
+    return ChangeLog(changes, layout_rows(spark, DRIFT_LAYOUTS), commits, small_relations=True)
+
+
 def raw_log(log: ChangeLog) -> DataFrame:
     """The pieces of a log put back into one raw table, with its begin messages."""
 

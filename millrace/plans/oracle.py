@@ -565,3 +565,40 @@ oracle(
     UNION ALL SELECT 'usable', count(*), CAST(sum(CASE WHEN n > 4 THEN event_id END) AS BIGINT) FROM lines WHERE n = 3 OR n > 4
     """,
 )
+oracle(
+    "typed_view_layouts",
+    "",
+    """
+    WITH t AS (
+      SELECT *, o_orderkey AS k, o_orderkey * 10 + 1 AS seq,
+        CASE WHEN o_orderkey * 10 + 1 < 5002 THEN 1 WHEN o_orderkey * 10 + 1 < 10002 THEN 2 ELSE 3 END AS v,
+        CAST(round(o_totalprice * 100) AS BIGINT) AS cents
+      FROM orders WHERE o_orderkey % 10 <> 9),
+    e AS (
+      SELECT *, CASE
+          WHEN k % 97 = 0 AND v <> 2 THEN 'failed to convert column order_key: invalid int8 value "n/a"'
+          WHEN k % 89 = 0 AND v = 1 THEN 'failed to convert column cust_key: invalid int4 value "99999999999"'
+          WHEN k % 97 = 0 THEN 'failed to convert column order_key: invalid int8 value "n/a"'
+          WHEN k % 83 = 0 AND v = 3 THEN 'failed to convert column total: invalid numeric value "NaN"'
+          WHEN k % 79 = 0 THEN 'column index ' || CASE v WHEN 1 THEN 3 ELSE 4 END || ' out of range for relation drifting'
+        END AS reason
+      FROM t)
+    SELECT seq, CASE WHEN k % 2 = 0 THEN 'create' ELSE 'delete' END AS op,
+      CASE WHEN reason IS NULL THEN k END AS order_key,
+      CASE WHEN reason IS NULL AND v < 3 THEN CASE WHEN k % 89 = 0 THEN 99999999999 ELSE o_custkey END END AS cust_key,
+      CASE WHEN reason IS NULL THEN o_orderstatus END AS status,
+      CASE WHEN reason IS NULL AND v > 1 THEN CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0')
+        END AS total,
+      reason IS NOT NULL AS failed, 'failed to parse tuple: ' || reason AS error
+    FROM e
+    """,
+)
+oracle(
+    "enrich_large",
+    EVENTS_LOG,
+    """
+    SELECT seq, op, CASE WHEN turn <> 2 AND shape = 'user' THEN c_mktsegment END AS segment, 1 AS attempts
+    FROM bound LEFT JOIN customer ON c_custkey = CASE WHEN user_id % 3 = 0 THEN 1 ELSE user_id END
+    WHERE tbl IS NOT NULL
+    """,
+)
