@@ -45,6 +45,14 @@ def payload_bytes(image: Column, name: str) -> Column:
     )
 
 
+def not_finite_field(image: Column, name: str) -> Column:
+    """Whether a field is NaN or an infinity. JSON has no such numbers, so none is nested in a field."""
+    number = F.try_variant_get(image, field_path(name), "double")
+    kind = F.schema_of_variant(field(image, name))
+    found = kind.isin("DOUBLE", "FLOAT") & (F.isnan(number) | (F.abs(number) == float("inf")))
+    return F.coalesce(found, F.lit(False))
+
+
 def with_fields(image: Column, fields: Mapping[str, Column]) -> Column:
     """The image with fields set or replaced; an absent image stays absent."""
     added = F.create_map(

@@ -88,6 +88,12 @@ def _fields(side: str) -> Column:
     )
 
 
+def _without_marks(side: str) -> Column:
+    """Values that were not sent, as they had not changed, read as NULL."""
+    marked = F.coalesce(F.array_contains(side, S.UNCHANGED), F.lit(False))
+    return F.when(marked, F.transform(side, lambda x: F.nullif(x, F.lit(S.UNCHANGED)))).otherwise(F.col(side))
+
+
 NULLABLE = ", ".join(map(str, pgtext.NULLABLE_OIDS))
 FAILED = f"(f.oid IS NULL OR (f.text IS NOT NULL AND f.value IS NULL AND f.oid NOT IN ({NULLABLE})))"
 FLOATS = ", ".join(map(str, pgtext.FLOAT_OIDS))
@@ -124,6 +130,7 @@ def decode_changes(bound: DataFrame) -> DataFrame:
     parsed = (
         bound if "ts" in bound.columns else bound.withColumn("ts", F.lit(None).cast("timestamp"))
     )
+    parsed = parsed.withColumn("new", _without_marks("new"))
     known = F.col("cols").isNotNull()
     parsed = once(
         parsed,
@@ -287,7 +294,7 @@ def table_view(
     used = bound.withColumns(
         {
             "old": F.when(F.col("kind").isin(S.UPDATE, S.DELETE), F.col("old")),
-            "new": F.when(F.col("kind").isin(S.INSERT, S.UPDATE), F.col("new")),
+            "new": F.when(F.col("kind").isin(S.INSERT, S.UPDATE), _without_marks("new")),
         }
     )
     error = F.expr(

@@ -12,6 +12,8 @@ from millrace.operators import outcome
 # Upper bounds of the histogram buckets, in seconds.
 TRANSFORM_BOUNDS = (0.0005, 0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0)
 SINK_BOUNDS = (0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0)
+# How long each stage of each batch took: the first try, and how many there were.
+TIMES = "batch_id bigint, stage string, events bigint, attempts int, seconds double"
 
 
 def events_processed(ledger: DataFrame) -> DataFrame:
@@ -57,6 +59,11 @@ def histogram(ledger: DataFrame, column: str, bounds: Sequence[float]) -> DataFr
     ).select("bucket.le", F.col("bucket.n").alias("n"), "count", "sum")
 
 
+def merged(histograms: DataFrame) -> DataFrame:
+    """Histograms of parts, as ``histogram`` gives them, added up into one."""
+    return histograms.groupBy("le").agg(*(F.sum(c).alias(c) for c in ("n", "count", "sum")))
+
+
 def live_counts(observed: str = "status") -> list[Column]:
     """Aggregates to observe on a batch as it is written, without another pass."""
     names = (

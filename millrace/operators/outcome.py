@@ -64,7 +64,8 @@ def mark(df: DataFrame, condition: Column, status: str, stage: str | None, error
 
 def mark_unwritable(records: DataFrame) -> DataFrame:
     """Row-level sink failures, found before any write so they never fail the whole batch."""
-    checks = F.when(F.col("not_finite"), F.lit(f"marshal event: {NOT_FINITE}"))
+    unwritable = "value_not_finite" if "value_not_finite" in records.columns else "not_finite"
+    checks = F.when(F.col(unwritable), F.lit(f"marshal event: {NOT_FINITE}"))
     if "topic" in records.columns:
         checks = checks.when(
             F.col("topic").isNull() | (F.col("topic") == ""), F.lit("produce: empty topic")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.envelope import envelope
-from millrace.functions.images import payload_bytes, usable_text
+from millrace.functions.images import not_finite_field, payload_bytes, usable_text
 from millrace.operators.lookup import MAX_BROADCAST_ROWS, within
 
 # Fixed value: prefix of a table's default topic.
@@ -51,7 +51,8 @@ def to_records(
 ) -> DataFrame:
     """Add ``topic, key, value`` to events; other columns are kept.
 
-    Each part of an outbox record falls back to the default on its own.
+    Each part of an outbox record falls back to the default on its own. With an outbox payload,
+    ``value_not_finite`` says whether the value holds a number that JSON cannot carry.
     """
     table, after = F.col("table"), F.col("after")
     topic = F.col("topic") if "topic" in events.columns else topic_of(table, mapping)
@@ -63,7 +64,13 @@ def to_records(
         if outbox.route_field:
             topic = F.coalesce(usable_text(after, outbox.route_field), topic)
         if outbox.payload_field:
-            value = F.coalesce(payload_bytes(after, outbox.payload_field), value)
+            payload = payload_bytes(after, outbox.payload_field)
+            value = F.coalesce(payload, value)
+            if "not_finite" in events.columns:
+                # Only what is written has to be writable.
+                alone = not_finite_field(after, outbox.payload_field)
+                unwritable = F.when(payload.isNotNull(), alone).otherwise(F.col("not_finite"))
+                return events.withColumns({"topic": topic, "key": key, "value": value, "value_not_finite": unwritable})
     return events.withColumns({"topic": topic, "key": key, "value": value})
 
 

@@ -41,27 +41,52 @@ def call_once(text: str, functions: Sequence[tuple[str, EventFunction]]) -> str
     return text
 
 
-def call_with_retry(
-    text: str,
+Outcome = tuple  # status, error, attempts, envelope, seconds of the first try
+
+
+def call_in_rounds(
+    texts: Sequence[str | None],
     functions: Sequence[tuple[str, EventFunction]],
     max_attempts: int,
     backoff_ms: int,
-) -> tuple[str | None, str | None, int, str | None, float]:
-    """(status, error, attempts, envelope, seconds of the first try)."""
-    first = None
+) -> list[Outcome]:
+    """What became of each text: all are tried, then, after one pause, those that failed, and so on.
+
+    The pauses of a batch don't depend on how many of its events fail. None gives a row of None.
+    """
+    out: list[Outcome] = [(None, None, None, None, None)] * len(texts)
+    first: dict[int, float] = {}
+    left = [i for i, text in enumerate(texts) if text is not None]
     for attempt in range(1, max_attempts + 1):
-        started = time.perf_counter()
-        try:
-            out, error = call_once(text, functions), None
-        except RuntimeError as cause:
-            out, error = None, str(cause)
-        if first is None:
-            first = time.perf_counter() - started
-        if error is None:
-            return (None if out is not None else outcome.FILTERED, None, attempt, out, first)
+        failing = []
+        for i in left:
+            started = time.perf_counter()
+            try:
+                result, error = call_once(texts[i], functions), None
+            except RuntimeError as cause:
+                result, error = None, str(cause)
+            took = first.setdefault(i, time.perf_counter() - started)
+            if error is None:
+                out[i] = (None if result is not None else outcome.FILTERED, None, attempt, result, took)
+            else:
+                out[i] = (outcome.TRANSFORM_ERROR, error, attempt, None, took)
+                failing.append(i)
+        left = failing
+        if not left:
+            break
         if attempt < max_attempts:
             time.sleep(backoff_ms / 1000)
-    return (outcome.TRANSFORM_ERROR, error, max_attempts, None, first)
+    return out
+
+
+def call_with_retry(
+    text: str,
+    functions: Sequence[tuple[str, EventFunction]],
+    max_attempts: int,
+    backoff_ms: int,
+) -> Outcome:
+    """The same for one text."""
+    return call_in_rounds([text], functions, max_attempts, backoff_ms)[0]
 
 
 def run_functions(
@@ -72,8 +97,8 @@ def run_functions(
 ) -> DataFrame:
     """Run (message prefix, function) pairs over live events.
 
-    Only the envelope text crosses to Python; all other columns stay put. Each
-    call gets a fresh dict and functions keep no state between events. The
+    Only the envelope text crosses to Python; all other columns stay put. Retries go
+    in rounds over an Arrow batch, with one pause a round. Each call gets a fresh dict and functions keep no state between events. The
     result is fixed once written, so callers store it before using it twice.
     """
     functions = list(functions)
@@ -81,11 +106,7 @@ def run_functions(
 
     @F.pandas_udf(RESULT)
     def call(texts: pd.Series) -> pd.DataFrame:
-        nothing = (None, None, None, None, None)
-        rows = [
-            nothing if text is None else call_with_retry(text, functions, max_attempts, backoff_ms)
-            for text in texts
-        ]
+        rows = call_in_rounds([None if text is None else text for text in texts], functions, max_attempts, backoff_ms)
         out = pd.DataFrame(rows, columns=["status", "error", "attempts", "envelope", "seconds"])
         return out.astype({"attempts": "Int32", "seconds": "float64"})
 

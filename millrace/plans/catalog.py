@@ -19,13 +19,15 @@ from millrace.operators.decode import (
     events_of,
     table_view,
 )
+from millrace.operators.unchanged import fill_unchanged
 from millrace.plans import derived_log as logs
 from millrace.session import configure, shared_folder
 from millrace.sinks.files import JsonLinesSink, TopicLogSink, with_segments
+from millrace.sinks.registry import SinkRegistry
 from millrace.sources import landing
 from millrace.sources.landing import land_in_order, stream_log
 from millrace.sources.snapshots import snapshot_diff
-from millrace.spec import PipelineSpec, SinkSpec, SourceSpec, TransformSpec
+from millrace.spec import DlqSpec, PipelineSpec, RetrySpec, SinkSpec, SourceSpec, TransformSpec
 from millrace.streaming.runner import build
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -740,3 +742,191 @@ def unreadable_input(spark, sf_dir):
     )
     good = landing.usable(landed).agg(F.count(F.lit(1)).alias("n"), F.sum("lsn").alias("total"))
     return bad.unionByName(good.select(F.lit("usable").alias("reason"), "n", "total"))
+
+
+# -- the rest of a run -------------------------------------------------------------
+
+
+@query
+def unchanged_columns(spark, sf_dir):
+    """A large column that most updates do not send: from the old row, or from its row's last state."""
+    log = logs.cards_log(spark, sf_dir)
+    events = events_of(decode(fill_unchanged(log, logs.CARD_KEYS), ts_mode=None))
+    plain = events_of(decode(log, ts_mode=None))
+
+    def body(df, name):
+        return df.select("seq", "op", F.try_variant_get("after", "$.body", "string").alias(name))
+
+    return body(events, "body").join(body(plain, "unfilled"), ["seq", "op"])
+
+
+@query
+def sink_retention(spark, sf_dir):
+    """Three batches of lines into a sink that keeps few segments: what is kept is the newest, and enough."""
+    folder, kept = _scratch(spark, "retention"), 3
+    sink = JsonLinesSink(folder, SEGMENT_BYTES, kept)
+    lines = _stamped_events(spark, sf_dir).select("seq", F.concat(F.col("seq").cast("string"), F.lit(" "), env.envelope()).alias("line"))
+    for part in range(3):
+        sink.write(lines.filter(F.floor(F.col("seq") / 10) % 3 == part), part)
+    every = lines.select(F.col("seq"), F.floor(F.col("seq") / 10) % 3, F.octet_length("line") + 1).toDF("seq", "batch", "bytes")
+    stored = spark.read.text(f"{folder}/lines").select(F.split("value", " ")[0].cast("bigint").alias("seq"))
+    marked = every.join(stored.withColumn("is_kept", F.lit(True)), "seq", "left")
+    # Batches follow one another, and lines within a batch.
+    order = F.struct("batch", "seq")
+    found = marked.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("bytes").alias("total"),
+        F.sum(F.when(F.col("is_kept"), F.col("bytes"))).alias("left"),
+        F.min(F.when(F.col("is_kept"), order)).alias("first"),
+        F.max(F.when(F.col("is_kept").isNull(), order)).alias("last_gone"),
+    )
+    limit = kept * SEGMENT_BYTES
+    return found.select(
+        F.col("n").alias("n_lines"),
+        (F.col("left") >= F.least("total", F.lit(limit))).alias("enough"),
+        (F.col("left") <= limit + SEGMENT_BYTES).alias("not_too_much"),
+        F.coalesce(F.col("last_gone") < F.col("first"), F.lit(True)).alias("newest"),
+        F.lit(sink.segments(spark).count() > 0).alias("listed"),
+    )
+
+
+@query
+def topic_log_text_topics(spark, sf_dir):
+    """Topics that look like numbers and dates, written and read back as text."""
+    topics = {"users": "007", "orders": "12", "sales.orders": "2026-01-01", "sessions": "1e3", "app.audit_logs": "true"}
+    sink = TopicLogSink(_scratch(spark, "topics"), topics)
+    events = _stamped_events(spark, sf_dir)
+    for part in range(2):
+        sink.write(sink.prepare(events.filter(F.floor(F.col("seq") / 10) % 2 == part)), part)
+    return sink.read(spark).groupBy("batch", "topic").agg(F.count(F.lit(1)).alias("n"), F.max("seq").alias("last_seq"))
+
+
+@query
+def outbox_not_finite(spark, sf_dir):
+    """Outbox rows of which only the payload is written: a NaN elsewhere does no harm, one in it does."""
+    decoded = decode(logs.orders_log(spark, sf_dir), ts_mode=None)
+    records = routing.to_records(outcome.begin(decoded), None, routing.Outbox("cust_key", "", "order_date"))
+    whole = outcome.mark_unwritable(records).filter(F.col("status").isNull() | (F.col("status") != outcome.DECODE_ERROR))
+    rated = routing.to_records(outcome.begin(decoded), None, routing.Outbox("", "", "rate"))
+    alone = outcome.mark_unwritable(rated).select("seq", F.col("error").alias("rate_error"))
+    return whole.select("seq", "status", F.col("value").cast("string").alias("value")).join(alone, "seq")
+
+
+def _counted(ledger: DataFrame) -> DataFrame:
+    return ledger.groupBy("status", "stage", "attempts").agg(F.count(F.lit(1)).alias("n"))
+
+
+class _Unsteady(TopicLogSink):
+    """A sink of one's own whose first write of a batch fails."""
+
+    writes = 0
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        self.writes += 1
+        if self.writes == 1:
+            raise ConnectionError("no route to the broker")
+        super().write(rows, batch_id)
+
+
+@query
+def sink_retry(spark, sf_dir):
+    """A registered sink that fails once: every event is written by the second try."""
+    folder, registry = _scratch(spark, "retry"), SinkRegistry()
+    registry.register("unsteady", lambda spec, topics: _Unsteady(spec.path, topics))
+    spec = PipelineSpec(sink=SinkSpec(type="unsteady", path=f"{folder}/out"), retry=RetrySpec(2, 1), work_dir=f"{folder}/work")
+    pipeline = build(spark, spec, registry=registry)
+    ledger = pipeline.run_batch(logs.raw_log(logs.events_log(spark, sf_dir)))
+    written = pipeline.sink.read(spark).agg(F.count(F.lit(1)).alias("n"))
+    return _counted(ledger).unionByName(written.selectExpr("'written' AS status", "'sink' AS stage", "2 AS attempts", "n"))
+
+
+@query
+def dead_letter_runs(spark, sf_dir):
+    """Failures without a dead-letter sink, with one, and with one that fails too.
+
+    Dead letters are whole events, although the sink they go to is set up with an outbox.
+    """
+    raw = logs.raw_log(logs.events_log(spark, sf_dir))
+    refuse = T.reject(F.col("table") == "orders", "no orders")
+    registry = SinkRegistry()
+    registry.register("broken", lambda spec, topics: _Broken(spec.path, topics))
+    out = None
+    for name, kind in (("off", None), ("on", "topic_log"), ("broken", "broken")):
+        folder = _scratch(spark, f"dlq-{name}")
+        box = routing.Outbox("", "", "error")
+        spec = PipelineSpec(
+            transform=TransformSpec(enabled=True, modules=(refuse,)),
+            sink=SinkSpec(type="topic_log", path=f"{folder}/out"),
+            dlq=kind and DlqSpec(True, SinkSpec(type=kind, path=f"{folder}/dlq", outbox=box, pretty_print=True)),
+            retry=RetrySpec(2, 1),
+            work_dir=f"{folder}/work",
+        )
+        pipeline = build(spark, spec, registry=registry)
+        rows = _counted(pipeline.run_batch(raw))
+        if name == "on":
+            letters = env.parse_envelopes(pipeline.dlq.read(spark).select("topic", F.col("value").cast("string").alias("value")))
+            error = F.try_variant_get("after", "$.error", "string")
+            rows = rows.unionByName(
+                letters.groupBy(F.concat_ws(" ", "topic", "op", error).alias("status"))
+                .agg(F.count(F.lit(1)).alias("n"))
+                .selectExpr("status", "'letter' AS stage", "CAST(NULL AS INT) AS attempts", "n")
+            )
+        rows = rows.withColumn("dlq", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+class _Broken(TopicLogSink):
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        raise ConnectionError("gone")
+
+
+@query
+def run_reports(spark, sf_dir):
+    """Live counts of a run as it goes, and that the times in its ledger add up to those measured."""
+    folder, reports = _scratch(spark, "reports"), []
+    pipeline = build(spark, _run_spec(folder), on_batch=reports.append)
+    ledger = pipeline.run_batch(logs.raw_log(logs.events_log(spark, sf_dir)))
+    counts = spark.createDataFrame([(k, int(v)) for r in reports for k, v in r.counts.items()], "name string, n bigint")
+    taken = {r.stage: r.seconds for r in pipeline.times.read(0).collect()}
+    close = lambda column, stage: (F.abs(F.sum(column) - taken[stage]) < 1e-6).cast("bigint")
+    sums = ledger.agg(close("sink_s", "sink").alias("sink_s adds up"))
+    buckets = metrics.histogram(pipeline.times.read_all().filter("stage = 'sink'"), "seconds", metrics.SINK_BOUNDS)
+    one = metrics.merged(buckets).filter("le = double('inf')").selectExpr("'sink batches' AS name", "n")
+    return counts.unionByName(sums.selectExpr("'sink_s adds up' AS name", "`sink_s adds up` AS n")).unionByName(one)
+
+
+@query
+def envelope_pretty(spark, sf_dir):
+    """Every event as indented JSON, and read back from it."""
+    lines = _stamped_events(spark, sf_dir).select("seq", env.envelope(pretty=True).alias("value"))
+    indented = F.col("value").startswith("{\n  \"source\"").alias("indented")
+    read = env.parse_envelopes(lines.withColumn("indented", indented))
+    return _images(read, "seq", "indented", "table", "op")
+
+
+@query
+def identity_chain(spark, sf_dir):
+    """A chain without links changes nothing."""
+    events = events_of(decode(logs.events_log(spark, sf_dir), ts_mode=None))
+    staged = T.chain(outcome.begin(events), [])
+    return _images(staged.filter("status IS NULL AND stage IS NULL AND error IS NULL"), "seq", "table", "op")
+
+
+def inflate(event: dict) -> dict:
+    """Makes some events larger than a result may be, and fails some with as long a text."""
+    key = event.get("after", {}).get("order_key", 1)
+    if key % 1000 == 2:
+        event["after"]["blob"] = "x" * (16 * 1024 * 1024)
+    if key % 1000 == 4:
+        raise ValueError("y" * (16 * 1024 * 1024 + 1))
+    return event
+
+
+@query
+def result_cap(spark, sf_dir):
+    """Results and errors of user functions that are over the limit."""
+    events = events_of(decode(logs.orders_log(spark, sf_dir), ts_mode=None))
+    staged = T.chain(outcome.begin(events), [T.UserFunction("inflate", inflate)], 1, 0)
+    said = F.regexp_extract("error", "(result [a-z]+ too large)", 1).alias("said")
+    return staged.filter("status = 'transform_error' AND NOT not_finite").select("seq", "op", said)

@@ -253,6 +253,39 @@ def drifting_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
     return ChangeLog(changes, layout_rows(spark, DRIFT_LAYOUTS), commits, small_relations=True)
 
 
+CARD_KEYS = {"cards": ("id",)}
+CARD_LAYOUTS = (
+    (0, 601, "", "cards", (("id", P.INT8), ("status", P.TEXT), ("body", P.TEXT))),
+    (4002, 601, "", "cards", (("body", P.TEXT), ("id", P.INT8), ("status", P.TEXT))),
+)
+
+
+def cards_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
+    """Changes of few rows with a large column: most updates leave it as it was and do not send it."""
+    key = F.col("o_orderkey")
+    seq = key * 10 + 1
+    turn = key % 6
+    body = F.concat(F.lit("body "), key.cast("string"))
+    card, status = (key % 97).cast("string"), F.col("o_orderstatus")
+    now = F.when(turn.isin(0, 1), body).when(turn != 5, F.lit(S.UNCHANGED))
+    was = F.concat(F.lit("old "), key.cast("string"))
+
+    def row(value):
+        return F.when(seq < 4002, F.array(card, status, value)).otherwise(F.array(value, card, status))
+
+    changes = spread(table(spark, sf_dir, "orders")).select(
+        seq.alias("seq"),
+        (key * 64 + 16777216).alias("lsn"),
+        F.expr("o_orderkey div 20").alias("xid"),
+        F.when(turn == 0, S.INSERT).when(turn == 5, S.DELETE).otherwise(F.lit(S.UPDATE)).alias("kind"),
+        F.when(key >= 0, F.lit(601)).alias("relation_id"),
+        F.when(turn == 2, row(was)).when(turn == 5, row(F.lit(None))).alias("old"),
+        F.when(turn != 5, row(now)).alias("new"),
+    )
+    commits = changes.limit(0).select("seq", "xid", F.lit(None).cast("timestamp").alias("commit_ts"))
+    return ChangeLog(changes, layout_rows(spark, CARD_LAYOUTS), commits, small_relations=True)
+
+
 def raw_log(log: ChangeLog) -> DataFrame:
     """The pieces of a log put back into one raw table, with its begin messages."""
 

@@ -602,3 +602,95 @@ oracle(
     WHERE tbl IS NOT NULL
     """,
 )
+oracle(
+    "unchanged_columns",
+    "",
+    """
+    WITH c AS (
+      SELECT o_orderkey AS k, o_orderkey * 10 + 1 AS seq, o_orderkey % 6 AS turn, o_orderkey % 97 AS card FROM orders),
+    v AS (
+      SELECT *, CASE WHEN turn < 2 THEN 'body ' || k WHEN turn = 2 THEN 'old ' || k END AS sent,
+        max(CASE WHEN turn IN (0, 1, 2, 5) THEN seq END) OVER (PARTITION BY card ORDER BY seq) AS known FROM c)
+    SELECT v.seq, CASE v.turn WHEN 0 THEN 'create' WHEN 5 THEN 'delete' ELSE 'update' END AS op,
+      CASE WHEN v.turn <> 5 THEN s.sent END AS body,
+      CASE WHEN v.turn < 2 THEN 'body ' || v.k END AS unfilled
+    FROM v LEFT JOIN v s ON s.seq = v.known
+    """,
+)
+oracle(
+    "sink_retention",
+    EVENTS_LOG,
+    "SELECT count(*) AS n_lines, true AS enough, true AS not_too_much, true AS newest, true AS listed FROM lines",
+)
+oracle(
+    "topic_log_text_topics",
+    EVENTS_LOG,
+    """
+    SELECT event_id % 2 AS batch, CASE tbl WHEN 'users' THEN '007' WHEN 'orders' THEN '12' WHEN 'sales.orders' THEN '2026-01-01'
+      WHEN 'sessions' THEN '1e3' ELSE 'true' END AS topic, count(*) AS n, max(seq) AS last_seq
+    FROM lines GROUP BY ALL
+    """,
+)
+oracle(
+    "outbox_not_finite",
+    ORDERS_LOG,
+    """
+    SELECT seq, CASE WHEN op = 'delete' AND k % 61 = 0 THEN 'sink_error' END AS status,
+      CASE WHEN op <> 'delete' THEN day || 'T00:00:00Z' ELSE '{"source":"postgres","table":"order_facts","op":"delete",'
+        || '"ts":"0001-01-01T00:00:00Z","before":' || image || '}' END AS value,
+      CASE WHEN k % 61 = 0 THEN 'marshal event: json: unsupported value: NaN or Infinity' END AS rate_error
+    FROM order_images WHERE reason IS NULL
+    """,
+)
+oracle(
+    "sink_retry",
+    EVENTS_LOG,
+    """
+    SELECT CASE WHEN tbl IS NULL THEN 'decode_error' ELSE 'success' END AS status,
+      CASE WHEN tbl IS NULL THEN 'decode' END AS stage, CASE WHEN tbl IS NULL THEN 1 ELSE 2 END AS attempts, count(*) AS n
+    FROM bound GROUP BY ALL
+    UNION ALL SELECT 'written', 'sink', 2, count(*) FROM bound WHERE tbl IS NOT NULL
+    """,
+)
+oracle(
+    "dead_letter_runs",
+    EVENTS_LOG,
+    """
+    SELECT dlq, CASE WHEN tbl IS NULL THEN 'decode_error' WHEN tbl <> 'orders' THEN 'success'
+        WHEN dlq = 'on' THEN 'transform_error' ELSE 'lost' END AS status,
+      CASE WHEN tbl IS NULL THEN 'decode' WHEN tbl = 'orders' THEN 'transform' END AS stage,
+      CASE WHEN tbl = 'orders' THEN 2 ELSE 1 END AS attempts, count(*) AS n
+    FROM bound, (VALUES ('off'), ('on'), ('broken')) d(dlq) GROUP BY ALL
+    UNION ALL SELECT 'on', 'cdc.dlq dlq transform 0 failed' || chr(10) || 'no orders', 'letter', NULL, count(*)
+      FROM bound WHERE tbl = 'orders' HAVING count(*) > 0
+    """,
+)
+oracle(
+    "run_reports",
+    EVENTS_LOG,
+    """
+    SELECT 'events' AS name, count(*) AS n FROM bound
+    UNION ALL SELECT 'success', count(*) FROM bound WHERE tbl IN ('users', 'orders', 'sales.orders')
+    UNION ALL SELECT 'filtered', count(*) FROM bound WHERE tbl IN ('app.audit_logs', 'sessions')
+    UNION ALL SELECT unnest(['transform_error', 'sink_error', 'lost']), 0
+    UNION ALL SELECT unnest(['sink_s adds up', 'sink batches']), 1
+    """,
+)
+oracle(
+    "envelope_pretty",
+    EVENTS_LOG,
+    """SELECT seq, true AS indented, tbl AS "table", op, before_json, after_json FROM lines""",
+)
+oracle(
+    "identity_chain",
+    EVENTS_LOG,
+    """SELECT seq, tbl AS "table", op, before_json, after_json FROM imaged WHERE tbl IS NOT NULL""",
+)
+oracle(
+    "result_cap",
+    ORDERS_LOG,
+    """
+    SELECT seq, op, CASE k % 1000 WHEN 2 THEN 'result data too large' ELSE 'result error too large' END AS said
+    FROM parsed WHERE reason IS NULL AND k % 61 <> 0 AND op <> 'delete' AND k % 1000 IN (2, 4)
+    """,
+)

@@ -9,6 +9,9 @@ RELATION, BEGIN, COMMIT, INSERT, UPDATE, DELETE, TRUNCATE = "R", "B", "C", "I",
 CHANGE_KINDS = (INSERT, UPDATE, DELETE)
 SILENT_KINDS = (RELATION, BEGIN, COMMIT, TRUNCATE)
 
+# Stands for a value that the source did not send because it did not change.
+UNCHANGED = "\u0000"
+
 COLUMNS_TYPE = T.ArrayType(
     T.StructType([T.StructField("name", T.StringType()), T.StructField("oid", T.IntegerType())])
 )

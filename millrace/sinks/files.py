@@ -35,6 +35,11 @@ class TopicLogSink:
         placed = in_key_order(rows.select("topic", "key", "value", "seq"))
         placed.write.partitionBy("topic").mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
+    def read(self, spark) -> DataFrame:
+        """All records, with their batch. Topics are text, also those that look like numbers or dates."""
+        schema = "key binary, value binary, seq bigint, topic string, batch bigint"
+        return spark.read.schema(schema).parquet(self.path)
+
 
 def with_segments(lines: DataFrame, max_size: int) -> DataFrame:
     """Number the segments of each writer: a line that would overfill one starts the next.
@@ -70,22 +75,28 @@ def retained(segments: DataFrame, max_files: int, max_size: int) -> DataFrame:
     """The newest segments; 0 files keeps all.
 
     A segment goes only when those after it hold more than ``max_files`` full segments' worth
-    of bytes, so what stays does not depend on how many tasks wrote it. One row per
-    segment passes through the window.
+    of bytes, so what stays does not depend on how many tasks wrote it. Sums run over one row per
+    writer, and inside each writer on their own.
     """
     if max_files <= 0:
         return segments
-    newer = W.orderBy(*(F.desc(c) for c in ORDER)).rowsBetween(W.unboundedPreceding, -1)
-    after = F.coalesce(F.sum("bytes").over(newer), F.lit(0))
-    kept = segments.withColumn("_after", after).filter(F.col("_after") <= max_files * max_size)
-    return kept.drop("_after")
+    writers = segments.groupBy("batch", "writer").agg(F.sum("bytes").alias("_total"))
+    later = W.orderBy(F.desc("batch"), F.desc("writer")).rowsBetween(W.unboundedPreceding, -1)
+    writers = writers.select("batch", "writer", F.coalesce(F.sum("_total").over(later), F.lit(0)).alias("_later"))
+    newer = W.partitionBy("batch", "writer").orderBy(F.desc("segment")).rowsBetween(W.unboundedPreceding, -1)
+    placed = segments.join(writers, ["batch", "writer"])
+    after = F.col("_later") + F.coalesce(F.sum("bytes").over(newer), F.lit(0))
+    kept = placed.withColumn("_after", after).filter(F.col("_after") <= max_files * max_size)
+    return kept.select(*segments.columns)
 
 
 class JsonLinesSink:
     """One envelope per line, in a folder per batch; with ``max_size`` in segments.
 
     Segments are folders ``batch=N/writer=W/segment=S``; a batch's share of the
-    manifest lists them with rows and bytes.
+    manifest lists them with rows and bytes. With ``max_files`` the manifest is compacted: ``live`` of batch N
+    holds what is left after N, and the next batch reads it and its own share alone. So the work of
+    a batch depends on what is kept and what it adds, not on its history.
     """
 
     def __init__(self, path: str, max_size: int = 0, max_files: int = 0) -> None:
@@ -117,18 +128,37 @@ class JsonLinesSink:
         )
         written.write.mode("overwrite").parquet(f"{self.path}/manifest/batch={batch_id}")
         if self.max_files > 0:
-            self.drop_expired(spark)
+            self.drop_expired(spark, batch_id)
+
+    SEGMENTS = "writer bigint, segment bigint, n bigint, bytes bigint, batch bigint"
+
+    def _live(self, spark) -> store.BatchTable:
+        return store.BatchTable(spark, f"{self.path}/live", self.SEGMENTS)
 
     def segments(self, spark) -> DataFrame:
-        """The manifest of all batches."""
-        schema = "writer bigint, segment bigint, n bigint, bytes bigint, batch bigint"
-        return spark.read.schema(schema).parquet(f"{self.path}/manifest")
-
-    def drop_expired(self, spark) -> None:
-        """Delete segments beyond the retention; deleting one again does nothing."""
-        manifest = self.segments(spark)
-        keep = retained(manifest, self.max_files, self.max_size)
-        for row in manifest.select(*ORDER).exceptAll(keep.select(*ORDER)).toLocalIterator():
-            store.delete(
-                spark, f"{self.path}/lines/batch={row.batch}/writer={row.writer}/segment={row.segment}"
-            )
+        """The segments there are."""
+        live = self._live(spark).numbers()
+        if live:
+            return self._live(spark).read(max(live))
+        return spark.read.schema(self.SEGMENTS).parquet(f"{self.path}/manifest")
+
+    def drop_expired(self, spark, batch_id: int) -> None:
+        """Settle what is left after a batch, and delete the rest; doing it again does nothing.
+
+        What a batch before this one left is not changed by it, so a batch that is done again settles the same.
+        """
+        live = self._live(spark)
+        own = spark.read.schema("writer bigint, segment bigint, n bigint, bytes bigint").parquet(
+            f"{self.path}/manifest/batch={batch_id}"
+        )
+        segments = own.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        earlier = [n for n in live.numbers() if n < batch_id]
+        if earlier:
+            segments = segments.unionByName(live.read(max(earlier)))
+        live.write(retained(segments, self.max_files, self.max_size), batch_id)
+        gone = segments.join(live.read(batch_id), list(ORDER), "left_anti")
+        folder = F.format_string(f"{self.path}/lines/batch=%d/writer=%d/segment=%d", *ORDER)
+        store.delete_all(spark, (r.folder for r in gone.select(folder.alias("folder")).toLocalIterator()))
+        for number in earlier[:-1] if len(earlier) > 1 else []:
+            live.drop(number)
+            store.delete(spark, f"{self.path}/manifest/batch={number}")

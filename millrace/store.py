@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,6 +25,39 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def delete_all(spark: SparkSession, paths: Iterable[str], at_once: int = 16) -> None:
+    """Delete folders, some at a time; the names pass by and are not held together."""
+    paths = iter(paths)
+    with ThreadPoolExecutor(at_once) as pool:
+        while some := list(islice(paths, 1000)):
+            for _ in pool.map(lambda path: delete(spark, path), some):
+                pass
+
+
+def publish_in_order(spark: SparkSession, staging: str, path: str) -> None:
+    """Move the data files of a folder to another, in the order of their names, each dated after those before.
+
+    Files there already stay the oldest. Only names and dates are touched.
+    """
+    fs, source = _path(spark, staging)
+    _, target = _path(spark, path)
+    fs.mkdirs(target)
+
+    def data_files(folder):
+        files = [f for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
+        return sorted(files, key=lambda f: f.getPath().getName())
+
+    new = data_files(source)
+    newest = max((f.getModificationTime() for f in data_files(target)), default=0)
+    first = max(int(time.time() * 1000) - len(new), newest + 1)
+    for i, file in enumerate(new):
+        name = file.getPath().getName()
+        fs.setTimes(file.getPath(), first + i, -1)
+        if not fs.rename(file.getPath(), _path(spark, f"{path}/{name}")[1]):
+            raise OSError(f"cannot publish {name} to {path}")
+    fs.delete(source, True)
+
+
 class BatchTable:
     """Rows of batch N live in ``batch=N``; writing a batch again replaces it."""
 

@@ -52,6 +52,7 @@ class BatchReport:
     counts: dict[str, int] = field(default_factory=dict)
     sink_attempts: int = 0
     sink_s: float | None = None
+    stage_s: float = 0.0
     sink_error: str | None = None
     lost: bool = False
 
@@ -61,7 +62,7 @@ class Pipeline:
 
     Everything kept between batches is in ``work_dir``: ``staged`` (the rows of
     the running batch, fixed before any output), ``ledger``, ``rejects`` (rows not
-    usable as landed), ``offsets``, ``runs`` and ``state``.
+    usable as landed), ``times``, ``offsets``, ``runs`` and ``state``.
     """
 
     def __init__(
@@ -80,7 +81,8 @@ class Pipeline:
         self.sink: Sink = registry.create(spec.sink, topics)
         self.dlq: Sink | None = None
         if spec.dlq is not None and spec.dlq.enabled:
-            self.dlq = registry.create(spec.dlq.sink, topics)
+            # Dead letters are whole events, one per line or record.
+            self.dlq = registry.create(replace(spec.dlq.sink, outbox=None, pretty_print=False), topics)
         self.now = now or F.current_timestamp
         self.on_batch = on_batch
         work = spec.work_dir.rstrip("/") or f"{shared_folder(spark)}/millrace"
@@ -89,6 +91,7 @@ class Pipeline:
         self.ledger = BatchTable(spark, f"{work}/ledger", S.LEDGER.simpleString()[7:-1].replace(":", " "))
         self.offsets = OffsetLedger(spark, f"{work}/offsets")
         self.rejects = BatchTable(spark, f"{work}/rejects", landing.REJECTS)
+        self.times = BatchTable(spark, f"{work}/times", metrics.TIMES)
         self.runs = RunLedger(spark, f"{work}/runs")
         self.state = StreamState(spark, f"{work}/state")
 
@@ -104,7 +107,9 @@ class Pipeline:
         chained = chain(
             begun, self.links, spec.retry.max_attempts, spec.retry.backoff_ms, numbered
         )
+        started = time.perf_counter()
         self._stage(chained, batch_id, report)
+        report.stage_s = time.perf_counter() - started
         staged = self.staged.read(batch_id)
         self._deliver(staged, batch_id, report)
 
@@ -116,9 +121,16 @@ class Pipeline:
         lost = self.dlq is None or not self._bury(failed, batch_id, report)
         report.lost = lost
 
+        # A batch is one write: each of its events has an equal share of the time, so sums are what it took.
+        live = max(report.counts.get(outcome.SUCCESS, 0), 1)
         done = staged.withColumn(
-            "sink_s", F.when(outcome.is_live(), F.lit(report.sink_s).cast("double"))
+            "sink_s", F.when(outcome.is_live(), F.lit((report.sink_s or 0.0) / live).cast("double"))
         )
+        if self.links and not any(isinstance(link, UserFunction) for link in self.links):
+            # Native links run in the same pass as decoding, which is timed as a whole.
+            share = report.stage_s / max(report.counts.get("events", 0), 1)
+            decoded_rows = F.col("status").isNull() | (F.col("status") != outcome.DECODE_ERROR)
+            done = done.withColumn("transform_s", F.when(decoded_rows, F.lit(share)))
         attempts = report.sink_attempts
         if report.sink_error is not None:
             error = F.lit(report.sink_error)
@@ -134,6 +146,7 @@ class Pipeline:
                 rows = rows.unionByName(left_out)
         self.ledger.write(rows, batch_id)
         self._acknowledge(batch_id)
+        self._note_times(report)
         if batch_id:
             self.staged.drop(batch_id - 1)
         if self.on_batch:
@@ -231,6 +244,15 @@ class Pipeline:
             return False
         return True
 
+    def _note_times(self, report: BatchReport) -> None:
+        """One row per stage of a batch: what histograms over batches are made of."""
+        events = report.counts.get("events", 0)
+        rows = [
+            (report.batch_id, "stage", events, 1, report.stage_s),
+            (report.batch_id, "sink", report.counts.get(outcome.SUCCESS, 0), report.sink_attempts, report.sink_s),
+        ]
+        self.times.write(self.spark.createDataFrame(rows, metrics.TIMES).coalesce(1), report.batch_id)
+
     def _acknowledge(self, batch_id: int) -> None:
         reached = outcome.high_water_mark(self.ledger.read(batch_id)).first()
         if reached is not None and reached.lsn is not None:
