@@ -1,7 +1,7 @@
 """Chat formatting with typed content parts. Built-in functions only.
 
-A visitor flattens the parts of a turn into text: text parts are escaped, the
-others become a placeholder each. What a placeholder stands for (reference,
+A visitor flattens the parts of a turn into text: neighbouring text parts are one text, which is
+escaped as a whole, so no control string hides between two parts; the others become a placeholder each. What a placeholder stands for (reference,
 type, how many tokens it expands to) is listed in order of appearance. Turns are
 put between control strings; a control string, ours or one of the common
 templates', is made harmless inside texts and roles by one backslash after its
@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 TURN, TEXT, ANSWER, END = "<|turn|>", "<|text|>", "<|answer|>", "<|end|>"
 # The strings that templates give a meaning to: first character, then any backslashes, then the rest.
-CONTROL = r"([<\[])(\\*)(\||/?s>|/?INST\])"
-ESCAPED = r"([<\[])\\(\\*)(\||/?s>|/?INST\])"
+MARKS = r"\||/?s>|/?INST\]|</?SYS>>|(?:start|end)_of_turn>|/?(?:TOOL_CALLS|TOOL_RESULTS|AVAILABLE_TOOLS)\]"
+CONTROL = rf"([<\[])(\\*)({MARKS})"
+ESCAPED = rf"([<\[])\\(\\*)({MARKS})"
 PART = (
     "array<struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>"
 )
@@ -63,13 +64,14 @@ def _tokens(part: Column, patch: int, per_second: float, per_page: int) -> Colum
 
 
 def visit(content: Column, patch: int = 28, per_second: float = 25.0, per_page: int = 512) -> Column:
-    """Each part as ``rendered`` text and, for attachments, ``type, ref, tokens``."""
+    """Each part as ``raw`` text or ``placeholder`` and, for attachments, ``type, ref, tokens``."""
 
     def one(part: Column) -> Column:
         attached = F.coalesce(part["type"].isin("image", "audio", "document"), F.lit(False))
         placeholder = F.concat(F.lit("<|"), part["type"], F.lit("|>"))
         return F.struct(
-            F.when(attached, placeholder).otherwise(escape(F.coalesce(part["text"], F.lit("")))).alias("rendered"),
+            F.when(attached, F.lit("")).otherwise(F.coalesce(part["text"], F.lit(""))).alias("raw"),
+            F.when(attached, placeholder).alias("placeholder"),
             attached.alias("attached"),
             part["type"].alias("type"),
             part["ref"].alias("ref"),
@@ -79,6 +81,21 @@ def visit(content: Column, patch: int = 28, per_second: float = 25.0, per_page:
     return F.transform(F.coalesce(content, F.array().cast(PART)), one)
 
 
+def rendered(parts: Column) -> Column:
+    """The text of visited parts: runs of text are escaped whole, placeholders stay as they are."""
+    nothing = F.struct(F.lit("").alias("done"), F.lit("").alias("run"))
+
+    def add(so_far: Column, part: Column) -> Column:
+        closed = F.concat(so_far["done"], escape(so_far["run"]), part["placeholder"])
+        is_text = part["placeholder"].isNull()
+        return F.struct(
+            F.when(is_text, so_far["done"]).otherwise(closed).alias("done"),
+            F.when(is_text, F.concat(so_far["run"], part["raw"])).otherwise(F.lit("")).alias("run"),
+        )
+
+    return F.aggregate(parts, nothing, add, lambda end: F.concat(end["done"], escape(end["run"])))
+
+
 def format_chat(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """``conv_id, turn, role, content`` in, one row for each conversation out.
 
@@ -87,10 +104,9 @@ def format_chat(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """
     parts = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), visit(F.col("content")).alias("parts"))
     answer = F.col("role") == loss_role
-    rendered = F.array_join(F.transform("parts", lambda p: p["rendered"]), "")
     opened = F.concat(F.lit(TURN), escape(F.col("role")), F.when(answer, ANSWER).otherwise(TEXT))
     segments = parts.select(
-        "conv_id", "turn", "role", answer.alias("answer"), opened.alias("opened"), rendered.alias("body"),
+        "conv_id", "turn", "role", answer.alias("answer"), opened.alias("opened"), rendered(F.col("parts")).alias("body"),
         F.filter("parts", lambda p: p["attached"]).alias("attached"),
     )
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "body")
@@ -161,8 +177,8 @@ WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
 ), e AS (
-  SELECT *, regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS body,
-         regexp_replace(role, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS head FROM t
+  SELECT *, regexp_replace(text, '([<\[])(\\*)(@MARKS@)', '\1\\\2\3', 'g') AS body,
+         regexp_replace(role, '([<\[])(\\*)(@MARKS@)', '\1\\\2\3', 'g') AS head FROM t
 )
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, body)) AS turns_sha256,
@@ -170,4 +186,4 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, body) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(8 + length(head) + CASE WHEN role = 'assistant' THEN 10 ELSE 8 END + length(body) + 7)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
-"""
+""".replace("@MARKS@", MARKS)
