@@ -21,7 +21,7 @@ no link that joins components is lost.
 Words are lower-cased in A-Z only. Defined results: a NULL or empty text, or one of
 white space, has an empty set and is linked with nothing. A text of fewer words
 than a shingle has one shingle, all of it. Rows without an id get their set's size
-but no component and link nothing. Rows that share an id are one document. An
+but no component and link nothing. Rows that share an id are linked by their own sets. An
 empty table gives an empty result. Extra columns are ignored by ``groups`` and kept
 by ``one_of_each``.
 """
@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from .common import fixed, joined_bytes, mix64, pieces, prepare
 from .components import components
@@ -340,30 +341,64 @@ class Join:
         return self._pair(met.filter(_within_reach(self.percent)))
 
 
-def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row: the smallest id reachable by links of
-    ``percent`` or more per cent Jaccard similarity."""
+def _placed(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id, n, node, label, component`` of every row: its set's size, class, the component of that and
+    the smallest id in it. A class without links is its own component; an empty set has neither."""
     join = Join(docs, words, percent)
     labels = join.labels()
     named = labels.join(join.first, "node")
     least = named.groupBy("label").agg(F.min("doc_id").alias("least"))
     of_node = join.first.withColumnRenamed("doc_id", "own").join(labels.join(least, "label"), "node", "left")
-    of_node = of_node.select("node", F.coalesce("least", "own").alias("component"))
-    placed = join.sizes.join(of_node, "node", "left")
+    of_node = of_node.select("node", F.coalesce("label", "node").alias("label"), F.coalesce("least", "own").alias("component"))
+    return join.sizes.join(of_node, "node", "left").select("doc_id", "n", "node", "label", "component")
+
+
+def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row: the smallest id reachable by links of
+    ``percent`` or more per cent Jaccard similarity."""
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return placed.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return _placed(docs, words, percent).select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def _nodes(words: int, names: list[str]):
+    """Rows as they are, with the class of their set; NULL for an empty one."""
+
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "__text"):
+            sets = Sets(batch.column("__text"), words)
+            node = pa.array(sets.digests()[0], mask=sets.n == 0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, node], names=[*names, "__node"])
+
+    return nodes
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Of each group the document with the smallest id, with all its columns. Rows without an id stay."""
-    placed = fixed(groups(docs, words, percent), "ngram-groups").filter("doc_id is not null")
-    per_id = placed.groupBy("doc_id").agg(F.min("component_id").alias("component"), F.count("*").alias("rows"))
+    """Of each group one row, with all its columns: the one with the smallest id, then the smallest class.
+
+    Rows without an id stay. Rows that share an id are told apart by their sets: those with the same set, or
+    without words and with the same text, are one; the others are documents of their own.
+    """
+    placed = fixed(_placed(docs, words, percent), "ngram-groups").filter("doc_id is not null")
+    per_id = placed.groupBy("doc_id").agg(F.min("component").alias("component"), F.count("*").alias("rows"))
     per_id = fixed(per_id, "ngram-ids")
-    gone = per_id.filter("component <> doc_id").select(F.col("doc_id").alias("__gone"))
+    gone = per_id.filter("rows = 1 and component <> doc_id").select(F.col("doc_id").alias("__gone"))
     left = docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
     if per_id.filter("rows > 1").isEmpty():
         return left
-    again = per_id.filter("rows > 1").select(F.col("doc_id").alias("__again")).distinct()
+    again = per_id.filter("rows > 1").select(F.col("doc_id").alias("__again"))
     single = left.join(again, left["doc_id"] == again["__again"], "left_anti")
-    repeated = left.join(again, left["doc_id"] == again["__again"], "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated)
+    own = [F.col(c).alias("__text" if c == "text" else f"__c{i}") for i, c in enumerate(docs.columns)]
+    names = ["__text" if c == "text" else f"__c{i}" for i, c in enumerate(docs.columns)]
+    rows = docs.join(again, docs["doc_id"] == again["__again"], "left_semi").select(*own)
+    rows = rows.mapInArrow(_nodes(words, names), StructType(list(rows.schema.fields)).add("__node", LongType()))
+    doc = f"__c{docs.columns.index('doc_id')}"
+    # The first row of each component, by id and class; counted up before it is shuffled.
+    keepers = placed.filter("node is not null").groupBy("label").agg(F.min(F.struct("doc_id", "node")).alias("k")).select("k.*")
+    staying = rows.join(keepers.withColumnsRenamed({"doc_id": doc, "node": "__node"}), [doc, "__node"], "left_semi")
+    staying = staying.select(*names, "__node").unionByName(rows.filter("__node is null").select(*names, "__node"))
+    # Of rows alike one, whichever of them has the smallest text, then the smallest hash of all columns.
+    alike = F.when(F.col("__node").isNull(), F.coalesce("__text", F.lit("")))
+    order = F.struct("__text", F.xxhash64(*names))
+    chosen = staying.groupBy(doc, "__node", alike.alias("__alike")).agg(F.min_by(F.struct(*[F.col(n).alias(f"r{i}") for i, n in enumerate(names)]), order).alias("row"))
+    back = [F.col(f"row.r{i}").alias(c) for i, c in enumerate(docs.columns)]
+    return single.unionByName(chosen.select(*back))
