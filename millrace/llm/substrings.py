@@ -23,12 +23,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from .common import fixed, mix64, pieces, plain_bytes, prepare
+from .ngram_join import _bits, id_filter
 
 SHORTEST, LONGEST = 16, 128  # bytes of a chunk
 ZERO_BITS = 4  # leading bits of the 16-bit hash that are zero at a cut: every 16th place on average
@@ -93,23 +95,23 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = np.repeat(np.arange(len(counts)), counts)
         doc = batch.column("doc_id").to_numpy(zero_copy_only=False)[row]
         mark = batch.column("mark").to_numpy(zero_copy_only=False)[row]
-        place = (mark << 40) | ((begin - starts[:-1][row]) << 8) | (end - begin)
-        order = np.lexsort((place, doc, digest))
-        digest, doc, place = digest[order], doc[order], place[order]
+        place = ((begin - starts[:-1][row]) << 8) | (end - begin)
+        order = np.lexsort((place, mark, doc, digest))
+        digest, doc, mark, place = digest[order], doc[order], mark[order], place[order]
         new = np.ones(len(order), bool)
         new[1:] = digest[1:] != digest[:-1]
         head = np.flatnonzero(new)[np.cumsum(new) - 1]
-        same = (doc == doc[head]) & (place == place[head])
+        same = (doc == doc[head]) & (mark == mark[head]) & (place == place[head])
         keep = new | ~same  # rows alike in all are one
         yield pa.RecordBatch.from_arrays(
-            [pa.array(digest[keep], mask=~new[keep]), pa.array(doc[keep]), pa.array(place[keep])],
-            names=["digest", "doc_id", "place"],
+            [pa.array(digest[keep], mask=~new[keep]), pa.array(doc[keep]), pa.array(mark[keep]), pa.array(place[keep])],
+            names=["digest", "doc_id", "mark", "place"],
         )
 
 
 def mark_of(text: Column) -> Column:
-    """16 bits of the text, which tell rows apart that share an id."""
-    return F.pmod(F.xxhash64(text), F.lit(1 << 16))
+    """64 bits of the text, which tell rows apart that share an id."""
+    return F.xxhash64(text, F.octet_length(text))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -118,16 +120,34 @@ def repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
     rows = rows.select("doc_id", mark_of(F.col("text")).alias("mark"), "text")
     # A NULL digest: known not to be the first.
-    chunks = rows.mapInArrow(_chunks, "digest bigint, doc_id bigint, place bigint")
-    own = F.struct("doc_id", "place")
-    first = F.min(own).over(Window.partitionBy("digest", F.when(F.col("digest").isNull(), F.col("place"))))
+    chunks = rows.mapInArrow(_chunks, "digest bigint, doc_id bigint, mark bigint, place bigint")
+    own = F.struct("doc_id", "mark", "place")
+    alone = F.when(F.col("digest").isNull(), F.xxhash64("doc_id", "mark", "place"))
+    first = F.min(own).over(Window.partitionBy("digest", alone))
     later = chunks.withColumn("first", first).filter(F.col("digest").isNull() | (own != F.col("first")))
     span = F.struct(
-        F.shiftright("place", 8).bitwiseAND(F.lit((1 << 32) - 1)).alias("start"),
+        F.shiftright("place", 8).alias("start"),
         F.col("place").bitwiseAND(F.lit(255)).alias("length"),
     )
-    spans = later.groupBy("doc_id", F.shiftright("place", 40).alias("mark")).agg(F.array_sort(F.collect_list(span)).alias("spans"))
-    return spans
+    # A set: rows alike in id and text say the same, however many there are.
+    return later.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set(span)).alias("spans"))
+
+
+def _runs(least: int):
+    """Documents with repeats to those with something to cut out."""
+
+    def long_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [runs(spans, least) for spans in batch.column("spans").to_pylist()]
+            some = pa.array([bool(f) for f in found], pa.bool_())
+            spans = [[{"start": a, "length": b - a} for a, b in f] for f in found if f]
+            kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).filter(some) for c in ("doc_id", "mark")), pa.array(spans, kind)],
+                names=["doc_id", "mark", "spans"],
+            )
+
+    return long_runs
 
 
 def runs(spans: list[dict], least: int) -> list[tuple[int, int]]:
@@ -177,15 +197,28 @@ def deduplicated(docs: DataFrame, least: int = LEAST, spans_as: str | None = Non
     original text, of everything that was cut out.
     """
     found = repeats(docs)
+    found = fixed(found.mapInArrow(_runs(least), found.schema), "substring-runs")
     names = [f"__c{i}" for i, c in enumerate(docs.columns) if c != "text"]
     own = [F.col(c).alias(f"__c{i}") for i, c in enumerate(docs.columns) if c != "text"]
     keys = [F.col("doc_id").cast("long").alias("__doc"), mark_of(F.col("text")).alias("__mark")]
     left = docs.select(*own, *keys, F.col("text").alias("__text"))
+    # Only rows with something to cut meet their runs; a filter of fixed size lets the others pass by.
+    shared = docs.sparkSession.sparkContext.broadcast(id_filter(found.select("doc_id")))
+
+    @F.pandas_udf("boolean")
+    def perhaps(ids: pd.Series) -> pd.Series:
+        known = ids.fillna(0).to_numpy(np.int64)
+        passed = ids.notna().to_numpy()
+        for at in _bits(known):
+            passed = passed & ((shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0)
+        return pd.Series(passed)
+
     right = found.select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans"))
-    met = left.join(right, ["__doc", "__mark"], "left").select(*names, "__text", "__spans")
+    met = left.filter(perhaps("__doc")).join(right, ["__doc", "__mark"], "left").select(*names, "__text", "__spans")
     schema = StructType([f for f in met.schema.fields if f.name != "__spans"])
     schema = schema.add("__removed", SPANS)
-    out = met.mapInArrow(_cut(least, names), schema)
+    passing = left.filter(~F.coalesce(perhaps("__doc"), F.lit(False))).select(*names, "__text", F.array().cast(SPANS).alias("__removed"))
+    out = met.mapInArrow(_cut(least, names), schema).unionByName(passing)
     back = [F.col("__text" if c == "text" else f"__c{i}").alias(c) for i, c in enumerate(docs.columns)]
     return out.select(*back, *([F.col("__removed").alias(spans_as)] if spans_as else []))
 
