@@ -55,9 +55,10 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 class Index:
-    def __init__(self, sample: np.ndarray, n: int, radius: float, seed: int = SEED) -> None:
+    def __init__(self, sample: np.ndarray, n: int, radius: float, seed: int = SEED, scale: float = 1.0) -> None:
+        """``scale`` is a power of two that vectors are multiplied with; ``radius`` is that of the scaled ones."""
         rng = np.random.default_rng(seed)
-        self.radius, d = radius, sample.shape[1] + 1
+        self.radius, self.scale, d = radius, scale, sample.shape[1] + 1
         self.rotation = np.linalg.qr(rng.normal(size=(d, d)))[0]
         points = self.rotated(sample)
         lists = max(1, min(LISTS, round(n**0.5), len(points)))
@@ -69,6 +70,7 @@ class Index:
             self.centres = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], self.centres)
 
     def rotated(self, vectors: np.ndarray, query: bool = False) -> np.ndarray:
+        vectors = vectors * self.scale
         rest = np.maximum(self.radius**2 - (vectors**2).sum(1), 0) ** 0.5
         return np.concatenate([vectors, (np.zeros_like(rest) if query else rest)[:, None]], 1) @ self.rotation
 
@@ -101,8 +103,10 @@ def scan(
     """
     x, q = index.rotated(vectors), index.rotated(queries, query=True)
     d = x.shape[1]
-    whole = index.radius**2 + (queries**2).sum(1)
-    known = whole - 2 * worst + 1e-12 * whole
+    whole = index.radius**2 + ((queries * index.scale) ** 2).sum(1)
+    # A limit that is not a number says nothing, nor does one of products that may have become zero.
+    told = np.isfinite(worst) & (index.scale <= 1)
+    known = np.where(told, whole - 2 * (np.where(told, worst, 0) * index.scale * index.scale) + 1e-12 * whole, np.inf)
     found: list[tuple] = []
     for start in range(0, len(q), 128):
         part, own = q[start : start + 128], query_ids[start : start + 128]
@@ -128,7 +132,8 @@ def scan(
             seen = more
             stay = ahead * (d / seen) <= limit[row] * slack(seen, d) + 1e-9
             row, col, ahead = row[stay], col[stay], ahead[stay]
-        score = (queries[start + row] * vectors[col]).sum(1)
+        with np.errstate(over="ignore", invalid="ignore"):
+            score = (queries[start + row] * vectors[col]).sum(1)
         order = np.lexsort((ids[col], -score, row))
         row, col, score = row[order], col[order], score[order]
         nth = np.arange(len(row)) - np.searchsorted(row, row)
@@ -142,15 +147,18 @@ def search(vectors: DataFrame, every: int = EVERY, k: int = K, probe: float = PR
     spark = vectors.sparkSession
     prepare(spark)
     rows = fixed(usable(vectors), "vectors")
-    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
-    facts = rows.agg(F.count("*").alias("n"), F.max(length).alias("radius")).first()
-    if not facts["n"]:
+    largest = rows.agg(F.max(F.array_max(F.transform("embedding", F.abs)))).first()[0]
+    if largest is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    # Squares of very large or small components leave the range of doubles.
+    scale = 1.0 if 1e-100 < largest < 1e100 else 2.0 ** float(np.clip(-np.frexp(largest)[1], -1000, 1000))
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * scale * x * scale))
+    facts = rows.agg(F.count("*").alias("n"), F.max(length).alias("radius")).first()
     chosen = rows.filter(chance(F.col("vec_id"), SEED) < SAMPLE / facts["n"]).orderBy("vec_id").limit(2 * SAMPLE)
     sample = _matrix(chosen.select("embedding").toArrow().column("embedding"))
     if not len(sample):
         sample = _matrix(rows.orderBy("vec_id").limit(1).select("embedding").toArrow().column("embedding"))
-    index = Index(sample, facts["n"], facts["radius"])
+    index = Index(sample, facts["n"], facts["radius"], scale=scale)
     shared = spark.sparkContext.broadcast(index)  # LISTS centres at most
     lists = len(index.centres)
 
