@@ -99,7 +99,9 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 4, rest: int = 2, per_l
     """Learns from labelled rows outside the fold, from a bounded sample of them."""
     known = labels.select("doc_id", F.col("quality").cast("int").alias("label"))
     known = known.filter("doc_id is not null and label in (0, 1)").filter(~held_out(F.col("doc_id"), parts, rest))
-    known = known.dropDuplicates(["doc_id"])
+    # An id with contradictory labels teaches nothing.
+    known = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
+    known = known.filter("label = other").drop("other")
     rows = labelled_sample(docs.select("doc_id", "text"), MAX_CHARS, lambda _: per_label, SEED, labels=known)
     sample = rows.toArrow().to_pandas().sort_values(["doc_id", "text"])
     y = sample["label"].to_numpy(np.int64)

@@ -41,7 +41,8 @@ WORD_WIDTH, CHAR_WIDTH, HIDDEN, ATTENTION = 8, 12, 8, 4
 DROPPED = 0.5  # share of words whose own vector is hidden in a training step, so that spelling counts
 PER_LABEL = 1500
 MAX_CHARS = 12_000
-EPOCHS = 8
+EPOCHS = 8  # at least
+STEPS = 500  # at least, so that a small sample is gone over more often
 SEED = 17
 INSIDE = np.zeros(256, bool)
 INSIDE[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
@@ -253,7 +254,7 @@ def highest(values: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, n
     return best, order[first] if n else np.zeros(0, np.int64)
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = SEED, epochs: int = EPOCHS) -> Network:
+def train(texts: list[str], labels: np.ndarray, seed: int = SEED, epochs: int | None = None) -> Network:
     rng = np.random.default_rng(seed)
     words, network, n = Words(pa.array(texts, pa.large_string())), Network(seed), len(texts)
     rows, text = words.windows()
@@ -268,6 +269,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED, epochs: int =
     values = odds[rows].max(1) + 0.01 * odds[rows].sum(1)
     first = np.searchsorted(text, np.arange(n))
     count = np.diff(np.append(first, len(text)))
+    if epochs is None:
+        epochs = max(EPOCHS, -(-STEPS // -(-(n + int((labels == 0).sum())) // 64)))
     for epoch in range(epochs):
         _, best = highest(values, text, n)
         other = first + (rng.random(n) * count).astype(np.int64)
@@ -287,7 +290,9 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 3, rest: int = 1, per_l
     """Learns from labelled rows outside the fold; None without both labels."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("label"))
     known = known.filter("doc_id is not null and label in (0, 1)").filter(~held_out(F.col("doc_id"), parts, rest))
-    known = known.dropDuplicates(["doc_id"])
+    # An id with contradictory labels teaches nothing.
+    known = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
+    known = known.filter("label = other").drop("other")
     rows = labelled_sample(docs.select("doc_id", "text"), MAX_CHARS, lambda _: per_label, SEED, labels=known)
     sample = rows.toArrow().to_pandas().sort_values(["doc_id", "text"])
     y = sample["label"].to_numpy(np.int64)
