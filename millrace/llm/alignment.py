@@ -38,7 +38,7 @@ from .packing import OTHER, PATTERN, _byte_values
 
 # Tokens of the first side that are aligned in one call.
 CALL = 300_000
-ALIGN_BLOCK = 8 << 20
+ALIGN_BLOCK = 4 << 20
 SPACE = "▁"
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_overlaps")
 ALIGNED = (
