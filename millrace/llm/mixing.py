@@ -24,6 +24,8 @@ from .common import WORD, fixed, numbered
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 20
+FEW, FEW_BYTES = 100_000, 16 << 20  # sources, and bytes of their names, that are handed to every task
+SALTS = 16
 
 
 def size_of(text: Column) -> Column:
@@ -97,13 +99,22 @@ def shares(rows: DataFrame, weights: Sequence[int], max_epochs: int) -> DataFram
         F.struct("draw", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "size").alias("edge"),
         F.floor(F.col("left") / F.col("n")).alias("edge_words"),
     )
-    return plan.join(edge, F.col("source").eqNullSafe(F.col("edge_source")), "left").drop("edge_source", "rest")
+    plan = plan.join(edge, F.col("source").eqNullSafe(F.col("edge_source")), "left").drop("edge_source", "rest")
+    return fixed(plan, "mix-shares")
 
 
 def _with_shares(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Adds the words a row takes; ``plan`` has one row for each source and is broadcast only when it is small."""
+    """Adds the words a row takes. ``plan`` has one row for each source. It is broadcast after its rows and the bytes
+    of its names were counted; if there is more of it, rows meet it by source and salt, so a large source is many groups."""
     renamed = plan.select(*[F.col(c).alias(f"__mix_{c}") for c in plan.columns])
-    joined = rows.join(renamed, F.col("__mix_row.source").eqNullSafe(F.col("__mix_source")))
+    same = F.col("__mix_row.source").eqNullSafe(F.col("__mix_source"))
+    total = plan.agg(F.count("*").alias("n"), F.sum(F.octet_length("source")).alias("bytes")).first()
+    if total["n"] <= FEW and (total["bytes"] or 0) <= FEW_BYTES:
+        joined = rows.join(F.broadcast(renamed), same)
+    else:
+        salted = rows.withColumn("__mix_salt", F.pmod(F.xxhash64("__mix_row"), F.lit(SALTS)))
+        each = renamed.withColumn("__mix_side", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        joined = salted.join(each, same & (F.col("__mix_salt") == F.col("__mix_side")))
     own = F.struct(
         F.col("__mix_row.draw").alias("draw"),
         F.coalesce("__mix_row.doc_id", F.lit(-(1 << 63))).alias("doc_id"),

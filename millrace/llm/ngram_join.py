@@ -31,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -187,6 +188,20 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return words
 
 
+def perhaps(ids: DataFrame):
+    """Whether an id may be one of ``ids`` (``doc_id``), as a function of a column: always true for these, false for NULL."""
+    shared = ids.sparkSession.sparkContext.broadcast(id_filter(ids))
+
+    @F.pandas_udf("boolean")
+    def among(column: pd.Series) -> pd.Series:
+        passed = column.notna().to_numpy()
+        for at in _bits(column.fillna(0).to_numpy(np.int64)):
+            passed = passed & ((shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0)
+        return pd.Series(passed)
+
+    return among
+
+
 def _fragments(words: int, shared):
     """The sets of the documents that the filter lets pass, by fragment."""
 
@@ -380,16 +395,19 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     """
     placed = fixed(_placed(docs, words, percent), "ngram-groups").filter("doc_id is not null")
     per_id = placed.groupBy("doc_id").agg(F.min("component").alias("component"), F.count("*").alias("rows"))
-    per_id = fixed(per_id, "ngram-ids")
-    gone = per_id.filter("rows = 1 and component <> doc_id").select(F.col("doc_id").alias("__gone"))
-    left = docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
-    if per_id.filter("rows > 1").isEmpty():
-        return left
-    again = per_id.filter("rows > 1").select(F.col("doc_id").alias("__again"))
-    single = left.join(again, left["doc_id"] == again["__again"], "left_anti")
-    own = [F.col(c).alias("__text" if c == "text" else f"__c{i}") for i, c in enumerate(docs.columns)]
+    marked = fixed(per_id.filter("rows > 1 or component <> doc_id").select("doc_id", (F.col("rows") > 1).alias("again")), "ngram-marked")
     names = ["__text" if c == "text" else f"__c{i}" for i, c in enumerate(docs.columns)]
-    rows = docs.join(again, docs["doc_id"] == again["__again"], "left_semi").select(*own)
+    own = [F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)]
+    # Only rows that may go or that share an id meet their mark in a shuffle; a filter of fixed size lets the others pass by.
+    known = perhaps(marked.select("doc_id"))
+    every = docs.select(*own, F.col("doc_id").cast("long").alias("__doc"))
+    passing = every.filter(~F.coalesce(known("__doc"), F.lit(False))).select(*names)
+    marks = marked.select(F.col("doc_id").alias("__id"), F.col("again").alias("__again"))
+    met = every.filter(known("__doc")).join(marks, F.col("__doc") == F.col("__id"), "left")
+    single = passing.unionByName(met.filter("__id is null").select(*names))
+    if marked.filter("again").isEmpty():
+        return single.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
+    rows = met.filter("__again").select(*names)
     rows = rows.mapInArrow(_nodes(words, names), StructType(list(rows.schema.fields)).add("__node", LongType()))
     doc = f"__c{docs.columns.index('doc_id')}"
     # The first row of each component, by id and class; counted up before it is shuffled.
@@ -400,5 +418,6 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     alike = F.when(F.col("__node").isNull(), F.coalesce("__text", F.lit("")))
     order = F.struct("__text", F.xxhash64(*names))
     chosen = staying.groupBy(doc, "__node", alike.alias("__alike")).agg(F.min_by(F.struct(*[F.col(n).alias(f"r{i}") for i, n in enumerate(names)]), order).alias("row"))
-    back = [F.col(f"row.r{i}").alias(c) for i, c in enumerate(docs.columns)]
-    return single.unionByName(chosen.select(*back))
+    back = [F.col(f"row.r{i}").alias(n) for i, n in enumerate(names)]
+    left = single.unionByName(chosen.select(*back))
+    return left.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
