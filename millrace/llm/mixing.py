@@ -112,8 +112,8 @@ def _with_shares(rows: DataFrame, plan: DataFrame) -> DataFrame:
     if total["n"] <= FEW and (total["bytes"] or 0) <= FEW_BYTES:
         joined = rows.join(F.broadcast(renamed), same)
     else:
-        salted = rows.withColumn("__mix_salt", F.pmod(F.xxhash64("__mix_row"), F.lit(SALTS)))
-        each = renamed.withColumn("__mix_side", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        salted = rows.withColumn("__mix_salt", F.pmod(F.xxhash64("__mix_row"), F.lit(SALTS)).cast("int"))
+        each = renamed.withColumn("__mix_side", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = salted.join(each, same & (F.col("__mix_salt") == F.col("__mix_side")))
     own = F.struct(
         F.col("__mix_row.draw").alias("draw"),
