@@ -1,7 +1,13 @@
 """Change-data pipelines written for Spark: decode, transform, route, deliver, account."""
 
-from millrace.session import configure
-from millrace.spec import PipelineSpec
-from millrace.streaming.runner import build
+from importlib import import_module
 
-__all__ = ["PipelineSpec", "build", "configure"]
+_PLACES = {"PipelineSpec": "millrace.spec", "build": "millrace.streaming.runner", "configure": "millrace.session"}
+__all__ = list(_PLACES)
+
+
+def __getattr__(name: str):
+    # Loaded when asked for: a task imports what its own function needs, and no more of its memory goes to modules.
+    if name not in _PLACES:
+        raise AttributeError(f"module {__name__!r} has no attribute {name!r}")
+    return getattr(import_module(_PLACES[name]), name)
