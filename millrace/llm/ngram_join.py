@@ -31,7 +31,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -192,12 +191,12 @@ def perhaps(ids: DataFrame):
     """Whether an id may be one of ``ids`` (``doc_id``), as a function of a column: always true for these, false for NULL."""
     shared = ids.sparkSession.sparkContext.broadcast(id_filter(ids))
 
-    @F.pandas_udf("boolean")
-    def among(column: pd.Series) -> pd.Series:
-        passed = column.notna().to_numpy()
-        for at in _bits(column.fillna(0).to_numpy(np.int64)):
+    @F.arrow_udf("boolean")
+    def among(column: pa.Array) -> pa.Array:
+        passed = column.is_valid().to_numpy(zero_copy_only=False)
+        for at in _bits(column.fill_null(0).to_numpy(zero_copy_only=False)):
             passed = passed & ((shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0)
-        return pd.Series(passed)
+        return pa.array(passed)
 
     return among
 

@@ -23,14 +23,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from .common import fixed, mix64, pieces, plain_bytes, prepare
-from .ngram_join import _bits, id_filter
+from .ngram_join import perhaps
 
 SHORTEST, LONGEST = 16, 128  # bytes of a chunk
 ZERO_BITS = 4  # leading bits of the 16-bit hash that are zero at a cut: every 16th place on average
@@ -203,21 +202,12 @@ def deduplicated(docs: DataFrame, least: int = LEAST, spans_as: str | None = Non
     keys = [F.col("doc_id").cast("long").alias("__doc"), mark_of(F.col("text")).alias("__mark")]
     left = docs.select(*own, *keys, F.col("text").alias("__text"))
     # Only rows with something to cut meet their runs; a filter of fixed size lets the others pass by.
-    shared = docs.sparkSession.sparkContext.broadcast(id_filter(found.select("doc_id")))
-
-    @F.pandas_udf("boolean")
-    def perhaps(ids: pd.Series) -> pd.Series:
-        known = ids.fillna(0).to_numpy(np.int64)
-        passed = ids.notna().to_numpy()
-        for at in _bits(known):
-            passed = passed & ((shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0)
-        return pd.Series(passed)
-
+    known = perhaps(found.select("doc_id"))
     right = found.select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans"))
-    met = left.filter(perhaps("__doc")).join(right, ["__doc", "__mark"], "left").select(*names, "__text", "__spans")
+    met = left.filter(known("__doc")).join(right, ["__doc", "__mark"], "left").select(*names, "__text", "__spans")
     schema = StructType([f for f in met.schema.fields if f.name != "__spans"])
     schema = schema.add("__removed", SPANS)
-    passing = left.filter(~F.coalesce(perhaps("__doc"), F.lit(False))).select(*names, "__text", F.array().cast(SPANS).alias("__removed"))
+    passing = left.filter(~F.coalesce(known("__doc"), F.lit(False))).select(*names, "__text", F.array().cast(SPANS).alias("__removed"))
     out = met.mapInArrow(_cut(least, names), schema).unionByName(passing)
     back = [F.col("__text" if c == "text" else f"__c{i}").alias(c) for i, c in enumerate(docs.columns)]
     return out.select(*back, *([F.col("__removed").alias(spans_as)] if spans_as else []))
