@@ -79,7 +79,9 @@ def ends(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def digests(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64 bits that stand for the bytes of each chunk; chunks cover all of ``data``."""
     place = np.arange(len(data)) - np.repeat(begin, end - begin)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE[data] * PLACE[place], dtype=np.uint64)])
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.multiply(BYTE[data], PLACE[place], out=sums[1:])
+    np.cumsum(sums, out=sums)
     return mix64(sums[end] - sums[begin] + (end - begin).astype(np.uint64))
 
 
