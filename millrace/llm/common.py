@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -126,18 +127,29 @@ def labelled_sample(
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1_500_000):
     """Runs of rows with about ``most`` bytes of text: bounded working memory whatever the batch size.
 
-    A single longer text is a run of its own. NULL texts count as empty.
+    A single longer text is a run of its own. NULL texts count as empty. What was freed is given back in the end.
     """
-    for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        start, size = 0, 0
-        for i, n in enumerate(lengths):
-            if i > start and size + n > most:
-                yield batch.slice(start, i - start)
-                start, size = i, 0
-            size += n
-        if start < batch.num_rows:
-            yield batch.slice(start)
+    try:
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+            start, size = 0, 0
+            for i, n in enumerate(lengths):
+                if i > start and size + n > most:
+                    yield batch.slice(start, i - start)
+                    start, size = i, 0
+                size += n
+            if start < batch.num_rows:
+                yield batch.slice(start)
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Hands freed memory to the system: a worker outlives its task, and the next one may be another operator's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
 
 
 def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
