@@ -128,9 +128,9 @@ class Model:
         size = (len(SIZES) << BITS) + 1
         self.weights = np.stack(columns, 1) if columns else np.zeros((size, 0), np.float32)
 
-    def margins(self, texts: pa.Array) -> np.ndarray:
-        """Each machine's margin for each text. Scoring takes counts as they are, divided by their length."""
-        total, length = np.zeros((len(texts), len(self.machines))), np.zeros(len(texts))
+    def counted(self, texts: pa.Array) -> tuple[list[tuple], np.ndarray]:
+        """For each n-gram size the distinct buckets, their values and where each text's begin; the vectors' lengths."""
+        kinds, length = [], np.zeros(len(texts))
         text_of = np.arange(len(texts), dtype=np.uint64)
         for rows, starts in buckets(texts):
             keys = (np.repeat(text_of, np.diff(starts)) << np.uint64(20)) | rows.astype(np.uint64)
@@ -138,30 +138,43 @@ class Model:
             new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
             counts = np.diff(np.append(new, len(keys)))
             unique = keys[new]
-            row = (unique & np.uint64((1 << 20) - 1)).astype(np.int64)
+            row = (unique & np.uint64((1 << 20) - 1)).astype(np.int32)
             begin = np.searchsorted(unique >> np.uint64(20), np.arange(len(texts) + 1, dtype=np.uint64))
-            value = np.sqrt(counts)
-            for j in range(len(self.machines)):
-                total[:, j] += segment_sums(self.weights[row, j] * value, begin)
+            kinds.append((row, np.sqrt(counts), begin))
             length += segment_sums(counts.astype(np.float64), begin)
-        return total / np.maximum(np.sqrt(length), 1e-9)[:, None] + self.weights[-1]
+        return kinds, np.maximum(np.sqrt(length), 1e-9)
+
+    def margins(self, kinds: list[tuple], length: np.ndarray, rows: np.ndarray, machines: list[int]) -> np.ndarray:
+        """The margins of these machines for these rows. Scoring takes counts as they are, divided by their length."""
+        total = np.zeros((len(rows), len(machines)))
+        for row, value, begin in kinds:
+            if len(rows) < len(length):
+                n = begin[rows + 1] - begin[rows]
+                ahead = np.concatenate([[0], np.cumsum(n)])
+                at = np.repeat(begin[rows] - ahead[:-1], n) + np.arange(ahead[-1])
+                row, value, begin = row[at], value[at], ahead
+            for j, machine in enumerate(machines):
+                total[:, j] += segment_sums(self.weights[row, machine] * value, begin)
+        return total / length[rows, None] + self.weights[-1, machines]
 
     def answers(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        margins, at = self.margins(texts), {m: i for i, m in enumerate(self.machines)}
+        """The family by its machines for all texts, then the machines of each family for its own texts only."""
+        (kinds, length), at = self.counted(texts), {m: i for i, m in enumerate(self.machines)}
         n, names = len(texts), list(self.families)
         answer, sure = np.full(n, "und", object), np.zeros(n)
         if not names:
             return list(answer), sure
         if len(names) > 1:
-            family = np.argmax(margins[:, [at["family", f] for f in names]], 1)
-            sure_family = _share(margins[:, [at["family", f] for f in names]])
+            margins = self.margins(kinds, length, np.arange(n), [at["family", f] for f in names])
+            family, sure_family = np.argmax(margins, 1), _share(margins)
         else:
             family, sure_family = np.zeros(n, np.int64), np.ones(n)
         for k, f in enumerate(names):
             rows, members = np.flatnonzero(family == k), self.families[f]
             votes = np.zeros((len(rows), len(members)))
-            for i, j in combinations(range(len(members)), 2):
-                margin = margins[rows, at[members[i], members[j]]]
+            pairs = list(combinations(range(len(members)), 2))
+            margins = self.margins(kinds, length, rows, [at[members[i], members[j]] for i, j in pairs])
+            for (i, j), margin in zip(pairs, margins.T, strict=True):
                 p = 1 / (1 + np.exp(-np.clip(4 * margin, -50, 50)))
                 # A vote counts whole; how sure it was decides among equal votes.
                 votes[:, i] += (margin >= 0) + p
@@ -196,7 +209,7 @@ def fit(docs: DataFrame, parts: int = 4, rest: int = 2, per_language: int = PER_
 def _answered(model, columns: list[str], schema: str):
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
-        for batch in pieces(batches, most=1_500_000):
+        for batch in pieces(batches, most=500_000):
             texts = batch.column("text")
             said, score = own.answers(texts)
             silent = [not (t and _letter(t)) for t in texts.to_pylist()]
