@@ -41,9 +41,14 @@ def word_hashes(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.nd
     # Sums of mixed bytes by their place in the word, so that a word's hash is free of where it lies.
     place = np.arange(len(data)) - np.repeat(np.concatenate([[0], begins]), np.diff(np.concatenate([[0], begins, [len(data)]])))
     factors = mix64(np.arange(1, 1025, dtype=np.uint64)) | np.uint64(1)
-    terms = table[data] * factors[place & 1023] * np.where(place > 1023, mix64(place.astype(np.uint64)), 1) if place.max() > 1023 else table[data] * factors[place]
+    sums = np.zeros(len(data) + 1, np.uint64)
+    terms = sums[1:]
+    np.take(table, data, out=terms, mode="clip")
+    terms *= factors[place & 1023]
+    far = np.flatnonzero(place > 1023)
+    terms[far] *= mix64(place[far].astype(np.uint64))
     terms[~inside] = 0
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+    np.cumsum(sums, out=sums)
     return begins, ends, mix64(sums[ends] - sums[begins])
 
 

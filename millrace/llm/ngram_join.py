@@ -43,7 +43,7 @@ from .features import SPACE, word_hashes
 FRAGMENTS = 8
 FILTER_BITS = 1 << 25  # 4 MB, whatever the input
 FREQUENT = 1_000_000  # how many of the most frequent shingles are put last
-LOCALLY = 2  # in so many sets of one run of rows a shingle is worth counting
+LOCALLY = 2  # in so many sets of one run of rows, 2 at least, a shingle is worth counting
 RUN = 3_000_000  # shingles of a run
 ROUNDS = 2
 SHARED = 3  # keys that a pair must have in common, or all its overlap if that is less
@@ -100,10 +100,16 @@ def _described(words: int):
         return pa.RecordBatch.from_arrays([*rows, pa.array(np.full(len(rows[0]), shingle))], names=names)
 
     def frequent(waiting: list[np.ndarray]) -> pa.RecordBatch:
-        shingle, times = np.unique(np.concatenate([*waiting, np.zeros(0, np.uint64)]), return_counts=True)
+        shingle = np.concatenate([*waiting, np.zeros(0, np.uint64)])
+        waiting.clear()
+        shingle.sort()
+        again = np.zeros(len(shingle) + 1, bool)  # like the one before
+        again[1:-1] = shingle[1:] == shingle[:-1]
+        first = np.flatnonzero(~again[:-1] & again[1:])
+        times = np.flatnonzero(again[:-1] & ~again[1:]) - first + 1
         common = times >= LOCALLY
         none = pa.nulls(int(common.sum()), pa.int64())
-        return told((none, none, pa.array(shingle[common].view(np.int64)), pa.array(times[common].astype(np.int64))), True)
+        return told((none, none, pa.array(shingle[first[common]].view(np.int64)), pa.array(times[common])), True)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size, seen = [], 0, set()
