@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
@@ -34,6 +35,7 @@ from .ngram_join import perhaps
 SHORTEST, LONGEST = 16, 128  # bytes of a chunk
 ZERO_BITS = 4  # leading bits of the 16-bit hash that are zero at a cut: every 16th place on average
 LEAST = 100  # bytes that a run of repeated chunks must have
+AT_ONCE = 4096  # chunks whose digests are made together, so some 512 KB of text at most
 GEAR = (mix64(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
 BYTE = mix64(np.arange(1001, 1257, dtype=np.uint64))
 PLACE = mix64(np.arange(2001, 2001 + 2 * LONGEST, dtype=np.uint64)) | np.uint64(1)
@@ -78,11 +80,16 @@ def ends(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def digests(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64 bits that stand for the bytes of each chunk; chunks cover all of ``data``."""
-    place = np.arange(len(data)) - np.repeat(begin, end - begin)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.multiply(BYTE[data], PLACE[place], out=sums[1:])
-    np.cumsum(sums, out=sums)
-    return mix64(sums[end] - sums[begin] + (end - begin).astype(np.uint64))
+    out = np.empty(len(begin), np.uint64)
+    for first in range(0, len(begin), AT_ONCE):
+        a, b = begin[first : first + AT_ONCE], end[first : first + AT_ONCE]
+        part = data[a[0] : b[-1]]
+        place = np.arange(a[0], b[-1]) - np.repeat(a, b - a)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.multiply(BYTE[part], PLACE[place], out=sums[1:])
+        np.cumsum(sums, out=sums)
+        out[first : first + AT_ONCE] = sums[b - a[0]] - sums[a - a[0]] + (b - a).astype(np.uint64)
+    return mix64(out)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,18 +146,34 @@ def _runs(least: int):
 
     def long_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [runs(spans, least) for spans in batch.column("spans").to_pylist()]
-            some = pa.array([bool(f) for f in found], pa.bool_())
-            spans = [[{"start": a, "length": b - a} for a, b in f] for f in found if f]
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
+            row, start, end = all_runs(batch.column("spans"), least)
+            some, first = np.unique(row, return_index=True)
+            span = pa.StructArray.from_arrays([pa.array(start), pa.array(end - start)], names=["start", "length"])
+            spans = pa.ListArray.from_arrays(pa.array(np.append(first, len(row)).astype(np.int32)), span)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).filter(some) for c in ("doc_id", "mark")), pa.array(spans, kind)],
-                names=["doc_id", "mark", "spans"],
+                [*(batch.column(c).take(pa.array(some)) for c in ("doc_id", "mark")), spans], names=["doc_id", "mark", "spans"]
             )
 
     return long_runs
 
 
+def all_runs(lists: pa.ListArray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``runs`` of all rows of a batch at once: the row of each, its start and its end."""
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    spans = lists.flatten()
+    row = np.repeat(np.arange(len(counts)), counts)
+    # Each row has a stretch of its own, longer than any text, so that rows never touch.
+    start = spans.field("start").to_numpy() + (row << 40)
+    end = np.maximum.accumulate(start + spans.field("length").to_numpy())
+    new = np.ones(len(row), bool)
+    new[1:] = start[1:] > end[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(row))[: len(first)] - 1
+    long = end[last] - start[first] >= least
+    row, base = row[first][long], row[first][long] << 40
+    return row, start[first][long] - base, end[last][long] - base
+
+
 def runs(spans: list[dict], least: int) -> list[tuple[int, int]]:
     """Neighbouring spans put together; those long enough, as start and end."""
     out: list[list[int]] = []

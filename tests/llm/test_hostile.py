@@ -4,6 +4,7 @@ import hashlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +166,24 @@ def test_components_out_of_the_range_of_squares(spark, giant):
         else:
             assert [v for v, _ in own] == order
             assert np.allclose([s for _, s in own], scores[order])
+
+
+def test_runs_of_a_batch_equal_runs_row_by_row():
+    rng = np.random.default_rng(7)
+    rows = []
+    for n in [0, 1, *rng.integers(0, 30, 200).tolist()]:
+        starts = np.sort(rng.choice(60, n, replace=False)) * 40
+        rows.append([{"start": int(a), "length": int(rng.choice([16, 40, 40, 50]))} for a in starts])
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
+    for part in (rows, rows[:1], []):
+        found = zip(*(x.tolist() for x in substrings.all_runs(pa.array(part, kind), 100)), strict=True)
+        assert list(found) == [(i, *run) for i, row in enumerate(part) for run in substrings.runs(row, 100)]
+
+
+def test_digests_do_not_depend_on_how_many_are_made_at_once(monkeypatch):
+    data = np.random.default_rng(3).integers(0, 256, 50_000).astype(np.uint8)
+    end, _ = substrings.ends(data, np.array([0, 20_000, len(data)]))
+    begin = np.concatenate([[0], end[:-1]])
+    want = substrings.digests(data, begin, end)
+    monkeypatch.setattr(substrings, "AT_ONCE", 7)
+    assert (substrings.digests(data, begin, end) == want).all()
