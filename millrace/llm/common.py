@@ -20,7 +20,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 # The most that a batch handed to Python holds, beyond its last row: texts differ in length by thousands.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 # Of a text that is too long to learn from whole, at most so many parts are candidates.
 WINDOWS = 16
 
