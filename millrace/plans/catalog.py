@@ -280,7 +280,7 @@ def envelope_reader(spark, sf_dir):
 def position_text(spark, sf_dir):
     """Positions as text."""
     key = F.col("o_orderkey")
-    lsn = F.when(key % 10 != 0, key * 1311768467294)
+    lsn = F.when(key % 10 != 0, logs.wrapped_product(key, 1311768467294))
     orders = logs.table(spark, sf_dir, "orders")
     return orders.select("o_orderkey", env.position_text(lsn).alias("position"))
 

@@ -5,6 +5,8 @@ Every row of the source table becomes one change, so the log grows with the tabl
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,6 +99,13 @@ def cents_text(value: Column) -> Column:
     )
 
 
+def wrapped_product(value: Column, factor: int) -> Column:
+    """Product as an unsigned 64-bit position, in the bigint of the same bits: beyond 64 bits it starts again at 0."""
+    half, whole = F.lit(Decimal(1 << 63)), F.lit(Decimal(1 << 64))
+    unsigned = F.pmod(value.cast("decimal(19,0)") * F.lit(factor).cast("decimal(19,0)"), whole)
+    return F.when(unsigned >= half, unsigned - whole).otherwise(unsigned).cast("bigint")
+
+
 def events_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
     """One insert, update or delete per row of ``events``, ten rows to a transaction."""
     events = table(spark, sf_dir, "events")

@@ -28,3 +28,20 @@ def test_query(spark, con, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["table", "op", "topic", "n"] and df.count() > 0
+
+
+def test_positions_of_large_keys(spark, tmp_path):
+    """Products that fill a bigint, 64 bits, and more: none fails, and all 64 bits are in the text."""
+    factor = 1311768467294
+    full, wide = (1 << 63) // factor, (1 << 64) // factor
+    keys = [None, 0, 1, full, full + 1, 7_500_001, wide, wide + 1, 36_000_003, (1 << 63) - 1, -1, -full - 2]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+
+    def text(key):
+        if key is None or key % 10 == 0:
+            return ""
+        bits = key * factor % (1 << 64)
+        return f"{bits >> 32}/{bits & 0xFFFFFFFF}"
+
+    got = {r.o_orderkey: r.position for r in QUERIES["position_text"](spark, str(tmp_path)).collect()}
+    assert got == {k: text(k) for k in keys}
