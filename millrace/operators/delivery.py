@@ -47,6 +47,18 @@ def repeated(identities: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     return again.join(known, list(IDENTITY), "left").filter("_turn > 1 OR _known").select("seq")
 
 
+def near(seen: DataFrame | None, identities: DataFrame) -> DataFrame | None:
+    """Identities seen before that can be among these: those in their range of positions.
+
+    Each batch kept its identities in files of its own, whose statistics tell the range. So batches
+    that lie elsewhere in the log are not read, however many are remembered.
+    """
+    if seen is None:
+        return None
+    low, high = identities.agg(F.min("lsn"), F.max("lsn")).first()
+    return None if low is None else seen.filter(F.col("lsn").between(low, high))
+
+
 def first_deliveries(changes: DataFrame, begins: DataFrame) -> DataFrame:
     """Each change once, as it first arrived."""
     return changes.join(repeated(identified(changes, begins)), "seq", "left_anti")

@@ -21,6 +21,9 @@ TEXT_LOG = T.StructType(
 )
 
 
+# Landed files are cut at least this fine, which is also how fine Spark cuts a file for its tasks.
+ROW_GROUP_BYTES = 4 << 20
+
 # What can be wrong with a row as it was landed. An unreadable position does not keep a row from being used.
 MALFORMED, NO_SEQ, NO_KIND, BAD_LSN = "malformed", "no seq", "no kind", "unreadable lsn"
 LEFT_OUT = (MALFORMED, NO_SEQ, NO_KIND)
@@ -131,15 +134,33 @@ def stream_kafka(spark: SparkSession, brokers: Sequence[str], topic: str, **opti
     return parsed_lines(reader.option("subscribe", topic).options(**options).load())
 
 
+def spread_out(batch: DataFrame, least_rows: int = 10_000) -> DataFrame:
+    """A persisted part of a log over all cores.
+
+    A file with large row groups, or one that can't be split, comes as one partition, and all that follows would
+    be one task. So the rows of the partitions are counted, and dealt out if one has over twice its share.
+    """
+    cores = batch.sparkSession.sparkContext.defaultParallelism
+    counts = [r["count"] for r in batch.groupBy(F.spark_partition_id()).count().collect()]
+    total = sum(counts)
+    if total < least_rows or max(counts) * cores <= 2 * total:
+        return batch
+    # Rows without a place in the log are dealt out by their text.
+    by = [c for c in ("seq", "lsn", "xid", "line") if c in batch.columns]
+    return batch.repartition(max(cores, len(counts)), *by)
+
+
 def land_in_order(raw: DataFrame, path: str, rows_per_file: int = 5_000_000, min_files: int = 1) -> None:
     """Land a log as files whose age follows arrival order, as a stream reads them.
 
     All tasks write their range of the log at once, to a folder beside the landing; then the files are
     published one after the other, each dated after the one before. That takes two or three jobs,
-    however many files there are. A file holds about ``rows_per_file`` rows.
+    however many files there are. A file holds about ``rows_per_file`` rows, in groups small enough
+    that all tasks share the reading of one file.
     """
     spark = raw.sparkSession
     staging = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}"
     files = max(min_files, -(-raw.count() // rows_per_file))
-    raw.repartitionByRange(files, "seq").sortWithinPartitions("seq").write.parquet(staging)
+    placed = raw.repartitionByRange(files, "seq").sortWithinPartitions("seq")
+    placed.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(staging)
     store.publish_in_order(spark, staging, path)

@@ -160,7 +160,7 @@ class Pipeline:
             return log, None
         seen = self.state.seen_before(batch_id, source.remember)
         found = self.state.see(batch_id, delivery.identified(log.changes, log.begins), source.remember)
-        again = delivery.repeated(found, seen)
+        again = self.state.repeats_of(batch_id, delivery.repeated(found, delivery.near(seen, found)))
         rows = log.changes.select("seq", "lsn", "kind").join(again, "seq", "left_semi")
         left_out = outcome.left_out_rows(rows, outcome.REPEATED, F.lit(None), self.now())
         return replace(log, changes=log.changes.join(again, "seq", "left_anti")), left_out
@@ -332,9 +332,13 @@ class Pipeline:
         rows after the last commit.
         """
         batch = batch.persist(StorageLevel.DISK_ONLY)
+        spread = landing.spread_out(batch)
+        if spread is not batch:
+            spread = spread.persist(StorageLevel.DISK_ONLY)
         try:
-            self._stream_batch(batch, batch_id)
+            self._stream_batch(spread, batch_id)
         finally:
+            spread.unpersist()
             batch.unpersist()
 
     def _stream_batch(self, batch: DataFrame, batch_id: int, final: bool = False) -> None:

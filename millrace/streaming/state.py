@@ -34,6 +34,7 @@ class StreamState:
         self.relations = BatchTable(spark, f"{path}/relations")
         self.held = BatchTable(spark, f"{path}/held")
         self.seen = BatchTable(spark, f"{path}/seen", "seq bigint, xid bigint, lsn bigint, kind string, nth int")
+        self.repeats = BatchTable(spark, f"{path}/repeats", "seq bigint")
 
     def mark(self, batch_id: int) -> Mark:
         if batch_id < 0 or not self.marks.has(batch_id):
@@ -66,6 +67,13 @@ class StreamState:
                 self.seen.drop(number)
         return self.seen.read(batch_id)
 
+    def repeats_of(self, batch_id: int, repeated: DataFrame) -> DataFrame:
+        """Fix which changes of a batch are repeated, as its rows and its ledger both ask; only the newest are kept."""
+        self.repeats.write(repeated, batch_id)
+        if batch_id:
+            self.repeats.drop(batch_id - 1)
+        return self.repeats.read(batch_id)
+
     def save(
         self, batch_id: int, mark: Mark, relations: DataFrame, held: DataFrame | None
     ) -> None:

@@ -218,3 +218,82 @@ def test_changes_without_a_position_are_not_cut_off(spark):
     rows = [relation(0, USERS), (1, None, *change(1, "I", 100, new=["1", "a"])[2:]), change(2, "I", 100, new=["1", "a"])]
     assert {r.seq for r in landing.from_position(raw(spark, rows), 5000).collect()} == {0, 1}
     assert {r.seq for r in ChangeLog.of(raw(spark, rows)).starting_at(5000).changes.collect()} == {1}
+
+
+# -- the size of a micro-batch -----------------------------------------------------
+
+
+def wide_log(spark, n):
+    """One transaction of ``n`` inserts, each of them with a text that does not compress."""
+    number, negative = F.col("id").cast("string"), (-F.col("id")).cast("string")
+    values = F.array(number, F.concat(F.sha2(number, 512), F.sha2(negative, 512)))
+    rows = spark.range(1, n + 1, numPartitions=4).select(
+        F.col("id").alias("seq"),
+        (F.col("id") + 1000).alias("lsn"),
+        F.lit(1).alias("xid"),
+        F.lit("I").alias("kind"),
+        F.lit(100).alias("relation_id"),
+        values.alias("new"),
+    )
+    ends = raw(spark, [relation(0, USERS), commit(n + 1, 1, 5)])
+    return ends.unionByName(rows, allowMissingColumns=True).select(*ends.columns)
+
+
+def rows_by_partition(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_a_landed_file_is_read_by_several_tasks(spark, tmp_path):
+    landing.land_in_order(wide_log(spark, 60_000), f"{tmp_path}/log")
+    files = list((tmp_path / "log").glob("*.parquet"))
+    counts = rows_by_partition(landing.read_landed(spark, f"{tmp_path}/log"))
+    assert len(files) == 1 and len(counts) > 1 and sum(counts) == 60_002
+
+
+def test_a_micro_batch_of_one_partition_goes_to_all_cores(spark, tmp_path, monkeypatch):
+    wide_log(spark, 20_000).coalesce(1).write.parquet(f"{tmp_path}/log")
+    pipeline, seen = build(spark, spec_for(tmp_path, source=SourceSpec(path=f"{tmp_path}/log"))), []
+    taken = pipeline._stream_batch
+    monkeypatch.setattr(pipeline, "_stream_batch", lambda batch, n: (seen.append(rows_by_partition(batch)), taken(batch, n)))
+    pipeline.run_stream().awaitTermination()
+    (counts,) = seen
+    assert sum(counts) == 20_002 and max(counts) * spark.sparkContext.defaultParallelism <= 2 * sum(counts)
+    assert count_by(pipeline.ledger.read_all(), "status") == {"success": 20_000}
+
+
+def test_small_or_even_batches_stay_as_they_are(spark):
+    for n, parts in ((0, 1), (10, 1), (20_000, 4)):
+        batch = spark.range(0, n, numPartitions=parts).withColumnRenamed("id", "seq")
+        assert landing.spread_out(batch) is batch
+
+
+def test_batches_elsewhere_in_the_log_are_not_compared(spark, tmp_path):
+    rows, want, every = twice_delivered()
+    log = ChangeLog.of(raw(spark, rows))
+    found = delivery.identified(log.changes, log.begins)
+    path = f"{tmp_path}/seen"
+    far = found.withColumns({"lsn": F.col("lsn") + 1000, "seq": F.col("seq") + 1000})
+    far.write.parquet(path)
+    found.filter("lsn = 10").write.mode("append").parquet(path)
+    seen = spark.read.parquet(path)
+    near = delivery.near(seen, found)
+    assert {r.lsn for r in near.collect()} == {10}
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(lsn,10)" in plan and "LessThanOrEqual(lsn,50)" in plan
+    assert delivery.near(None, found) is None and delivery.near(seen, found.limit(0)) is None
+    expected = {r.seq for r in delivery.repeated(found, seen).collect()}
+    assert {r.seq for r in delivery.repeated(found, near).collect()} == expected
+    assert {r.seq for r in found.filter("lsn = 10").collect()} <= expected
+
+
+def test_repeated_changes_are_fixed_once_a_batch(spark, tmp_path):
+    rows, want, every = twice_delivered()
+    spec = spec_for(tmp_path, source=SourceSpec(deliveries="first", ts_mode="last_seen_commit"))
+    pipeline = build(spark, spec)
+    pipeline.run_batch(raw(spark, rows))
+    assert sorted(r.seq for r in pipeline.state.repeats.read(0).collect()) == sorted(set(every) - set(want))
+    # Redelivered to the next batch: all of them are repeated, and only its own list is kept.
+    pipeline.process(ChangeLog.of(raw(spark, [(r[0] + 1000, *r[1:]) for r in rows])), 1)
+    again = {r.seq - 1000 for r in pipeline.state.repeats.read(1).collect()}
+    assert again | {r.seq - 1000 for r in pipeline.ledger.read(1).filter("status != 'repeated'").collect()} == set(every)
+    assert pipeline.state.repeats.numbers() == [1]
