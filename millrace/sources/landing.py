@@ -21,8 +21,9 @@ TEXT_LOG = T.StructType(
 )
 
 
-# Landed files are cut at least this fine, which is also how fine Spark cuts a file for its tasks.
-ROW_GROUP_BYTES = 4 << 20
+# Row groups of landed files. Spark cuts a file into parts of 4 MB or more, and a part has whole groups: with
+# several groups to a part, the tasks that share a file have about the same work.
+ROW_GROUP_BYTES = 1 << 20
 
 # What can be wrong with a row as it was landed. An unreadable position does not keep a row from being used.
 MALFORMED, NO_SEQ, NO_KIND, BAD_LSN = "malformed", "no seq", "no kind", "unreadable lsn"
